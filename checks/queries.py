@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sitecharge.functions.dates import closed_months, coerce_datetimes, date_text, datetime_text
 from sitecharge.functions.numeric import money_text, parse_money, parse_percent, percent_text
-from sitecharge.operators import dimensions, impute, jobs, metrics, outliers, rollup, scenario
+from sitecharge.operators import dimensions, impute, jobs, metrics, outliers, pricing, scenario
 from sitecharge.operators.periods import FULL_DAY, Period, year_to_date
 from sitecharge.plans import report
 from sitecharge.plans.session import configure
@@ -52,7 +52,7 @@ class Run:
         self.staging = Staging(spark)
 
     def merged(self) -> DataFrame:
-        return jobs.merged_jobs(self.tables, self.periods)
+        return pricing.merged_jobs(self.tables, self.periods)
 
     def flagged(self) -> DataFrame:
         """Imputed job rows with the outlier flag; stored once, as bounds and rows both need them."""

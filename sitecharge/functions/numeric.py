@@ -11,7 +11,7 @@ _INF = float("inf")
 
 
 def nan_to_null(x: Column) -> Column:
-    return F.when(~F.isnan(x), x)
+    return F.nullif(x, F.lit(float("nan")))
 
 
 def float_divide(a: Column, b: Column) -> Column:
@@ -40,6 +40,8 @@ def round_percent(ratio: Column) -> Column:
 
 
 def _fixed_text(x: Column) -> Column:
+    """Grouped digits with two decimals. From 2**46 on, doubles are coarser than a cent; the cents
+    shown are then those of the shortest decimal text of the number."""
     infinite = F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf"))
     return F.when(F.abs(x) == _INF, infinite).otherwise(F.format_number(x, 2))
 

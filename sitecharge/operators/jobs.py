@@ -5,26 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitecharge.operators.dimensions import item_units, owned_sites, weighted_item_units
+from sitecharge.operators.dimensions import item_units
 from sitecharge.operators.periods import MIDNIGHT, PERIOD, Period, tag_periods
 from sitecharge.operators.scenario import KEEP, applying_charges, priced_scenarios, scenario_picks
 from sitecharge.sources.tables import Tables
 
 # Smallest quantities that count, for job facts and for scenario charges.
-MIN_JOB_QUANTITY = 0.99
-MIN_SCENARIO_QUANTITY = 0.0
+MIN_JOBQUANTITY = 0.99
+MIN_SCENARIOQUANTITY = 0.0
 
-_QUANTITY = "produced_quantity_value_in_reference_uom"
+QUANTITY = "produced_quantity_value_in_reference_uom"
 
 
 def period_jobs(
     tables: Tables,
     periods: list[Period],
-    above: float = MIN_JOB_QUANTITY,
+    above: float = MIN_JOBQUANTITY,
     end: str = MIDNIGHT,
 ) -> DataFrame:
     """Jobs started in a period with a quantity above the floor, tagged with the period."""
-    quantity = F.col(_QUANTITY)
+    quantity = F.col(QUANTITY)
     counted = tables.jobs.where((quantity > above) & ~F.isnan(quantity))
     return tag_periods(counted, "actual_start_at", periods, end)
 
@@ -53,7 +53,7 @@ def job_facts(tables: Tables, periods: list[Period], end: str = MIDNIGHT) -> Dat
             "job_id",
             "created_at",
             F.col("created_at").alias("created_at_v2"),
-            F.try_divide(_QUANTITY, "default_ratio").alias("produced_quantity"),
+            F.try_divide(QUANTITY, "default_ratio").alias("produced_quantity"),
             "uom_produced",
             "uom_produced_label",
             F.col("item_id").alias("sku_id"),
@@ -82,7 +82,7 @@ def scenario_charges(
         tables.accounts.select("account_id"), F.col("_account_id") == F.col("account_id"), "left"
     )
     return (
-        period_jobs(tables, periods, MIN_SCENARIO_QUANTITY, end)
+        period_jobs(tables, periods, MIN_SCENARIOQUANTITY, end)
         .join(orders, "work_order_id")
         .join(accounts, "site_id", "left")
         .select(
@@ -112,7 +112,7 @@ def job_picks(
         scenario_picks(tables, which), "scenario_id", "left"
     )
     return (
-        period_jobs(tables, periods, MIN_SCENARIO_QUANTITY, end)
+        period_jobs(tables, periods, MIN_SCENARIOQUANTITY, end)
         .join(orders, "work_order_id", "left")
         .select("job_id", "scenario_charge_id")
         .distinct()
@@ -129,7 +129,7 @@ def resolved_charges(
         "left",
     )
     return (
-        period_jobs(tables, periods, MIN_SCENARIO_QUANTITY, end)
+        period_jobs(tables, periods, MIN_SCENARIOQUANTITY, end)
         .join(orders, "work_order_id", "left")
         .select(
             "job_id",
@@ -172,113 +172,21 @@ def turned_on_dates(tables: Tables) -> DataFrame:
     )
 
 
-def priced_work_orders(tables: Tables, ties: str = KEEP) -> DataFrame:
-    """Everything a work order contributes to the price of its jobs.
-
-    One row per unit context and applying charge. ``copies`` is the multiplicity of the row,
-    ``project_rows`` is 1 on exactly one row per work order.
-    """
-    units = weighted_item_units(tables)
-    charges = priced_scenarios(tables, ties)
-    first = F.coalesce("first_context", F.lit(True)) & F.coalesce("first_charge", F.lit(True))
-    copies = F.coalesce("context_copies", F.lit(1)) * F.coalesce("charge_copies", F.lit(1))
-    return (
-        tables.work_orders.join(units, "item_id", "left")
-        .join(charges, "scenario_id", "left")
-        .withColumns(
-            {
-                "project_id": F.col("work_order_id"),
-                "copies": copies,
-                "project_rows": F.when(first, 1).otherwise(0),
-            }
-        )
-        .drop("first_context", "first_charge", "context_copies", "charge_copies")
-    )
-
-
-def merged_jobs(
-    tables: Tables, periods: list[Period], end: str = MIDNIGHT, ties: str = KEEP
-) -> DataFrame:
-    """Jobs of active sites with unit data, applying charges and the case ratio of the account.
-
-    Equals joining the job facts, the scenario charges, the active sites and the case ratios one
-    after the other, but scans the jobs once and moves them for one join only.
-    """
-    return _with_case_ratio(
-        period_jobs(tables, periods, end=end)
-        .join(priced_work_orders(tables, ties), "work_order_id", "left")
-        .join(owned_sites(tables), "site_id")
-        .withColumn("produced_quantity", F.try_divide(_QUANTITY, "default_ratio"))
-        .withColumn("copies", F.coalesce("copies", F.lit(1).cast("bigint")))
-    ).select(
-        *PERIOD,
-        "company_id",
-        "account_id",
-        "site_id",
-        "job_id",
-        "project_id",
-        "created_at",
-        "produced_quantity",
-        "uom_produced",
-        "case_uom_id",
-        "case_ratio",
-        "scenario_charge_id",
-        "scen_uom",
-        "final_charge_per_unit",
-        "labour_charge_per_unit",
-        "materials_charge_per_unit",
-        "overhead_charge_per_unit",
-        "overridden_charge_per_unit",
-        "custom_sum_charge_per_unit",
-        "copies",
-    )
-
-
-def _with_case_ratio(df: DataFrame) -> DataFrame:
-    """The case ratio counts only when it belongs to the account of the site."""
-    owned = F.col("case_account_id") == F.col("account_id")
-    return df.withColumn("case_ratio", F.when(owned, F.col("case_ratio")))
-
-
 def job_totals(tables: Tables, periods: list[Period], end: str = MIDNIGHT) -> DataFrame:
     """Period jobs folded per (period, site, work order).
 
     All jobs of a work order at a site share every charge, and job value is linear in the
     quantity, so the fold loses nothing the report needs. Partial aggregation happens before the
-    shuffle: a site or work order that owns a large part of all jobs arrives as one row per task.
+    shuffle: a work order that owns a large part of all jobs arrives as one row per task.
     """
     return (
         period_jobs(tables, periods, end=end)
         .groupBy(*PERIOD, "site_id", "work_order_id")
         .agg(
-            F.sum(_QUANTITY).alias("reference_quantity"),
+            F.sum(QUANTITY).alias("reference_quantity"),
             F.count("*").alias("job_rows"),
             F.count("job_id").alias("job_count"),
             F.min("created_at").alias("first_created_at"),
             F.max("created_at").alias("last_created_at"),
         )
     )
-
-
-def priced_totals(
-    tables: Tables,
-    sites: DataFrame,
-    periods: list[Period],
-    end: str = MIDNIGHT,
-    ties: str = KEEP,
-) -> DataFrame:
-    """Work-order totals of ``sites`` with unit data, applying charges and case ratio."""
-    priced = (
-        job_totals(tables, periods, end)
-        .join(sites, "site_id")
-        .join(priced_work_orders(tables, ties), "work_order_id", "left")
-        .withColumns(
-            {
-                "produced_quantity": F.try_divide("reference_quantity", "default_ratio"),
-                "copies": F.coalesce("copies", F.lit(1).cast("bigint")),
-                "project_rows": F.coalesce("project_rows", F.lit(0)),
-            }
-        )
-    )
-    return _with_case_ratio(priced)
-

@@ -45,22 +45,29 @@ def tag_periods(df: DataFrame, moment: str, periods: list[Period], end: str = MI
         none = F.lit(None).cast("date")
         return df.where(F.lit(False)).withColumns({name: none for name in PERIOD})
     at = F.col(moment)
-    hull = _inside(at, min(p.start for p in periods), max(p.end for p in periods), end)
+    ordered = sorted(set(periods))
+    hull = _inside(at, min(p.start for p in ordered), max(p.end for p in ordered), end)
+    if all(a.end < b.start for a, b in zip(ordered, ordered[1:])):
+        # A start date names its period; plain dates keep the per-row work on the fact small.
+        starts = [F.when(_inside(at, p.start, p.end, end), F.lit(p.start)) for p in ordered]
+        ends = [F.when(F.col("start_date") == F.lit(p.start), F.lit(p.end)) for p in ordered]
+        return (
+            df.where(hull)
+            .withColumn("start_date", F.coalesce(*starts))
+            .where(F.col("start_date").isNotNull())
+            .withColumn("end_date", F.coalesce(*ends))
+        )
     spans = [
         F.when(
             _inside(at, p.start, p.end, end),
             F.struct(F.lit(p.start).alias("start_date"), F.lit(p.end).alias("end_date")),
         )
-        for p in sorted(set(periods))
+        for p in ordered
     ]
-    ordered = sorted(set(periods))
-    disjoint = all(a.end < b.start for a, b in zip(ordered, ordered[1:]))
-    if disjoint:
-        found = df.where(hull).withColumn("_period", F.coalesce(*spans))
-    else:
-        found = df.where(hull).withColumn("_period", F.explode(F.array(*spans)))
     return (
-        found.where(F.col("_period").isNotNull())
+        df.where(hull)
+        .withColumn("_period", F.explode(F.array(*spans)))
+        .where(F.col("_period").isNotNull())
         .withColumns({name: F.col("_period")[name] for name in PERIOD})
         .drop("_period")
     )

@@ -96,6 +96,13 @@ def digit_quantiles(
     return _interpolate(ranks, keys, list(probs.items()))
 
 
+def _running(part: list[str], by: list[str]) -> Column:
+    """Weight up to and with each row; rows of equal value follow one another."""
+    window = Window.partitionBy(*part).orderBy(*by)
+    rows = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.sum("_n").over(rows)
+
+
 def _wanted_ranks(coarse: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
     """Every bucket once per wanted rank: the ranks below and above each position."""
     total = F.sum("_n").over(Window.partitionBy(*keys))
@@ -107,7 +114,7 @@ def _wanted_ranks(coarse: DataFrame, keys: list[str], probs: list[float]) -> Dat
             for side, rank in enumerate((F.floor, F.ceil))
         ]
     )
-    end = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_scale", "_coarse"))
+    end = _running(keys, ["_scale", "_coarse"])
     placed = coarse.withColumns({"_total": total, "_end": end})
     near = F.filter(
         wanted, lambda w: (w["rank"] < F.col("_end")) & (w["rank"] >= F.col("_end") - F.col("_n"))
@@ -124,8 +131,7 @@ def _narrow(
 ) -> DataFrame:
     """Per wanted rank, the entry of ``counts`` that holds it; the rank becomes relative to it."""
     if within is not None:
-        window = Window.partitionBy(*within, "_slot").orderBy(*by)
-        counts = counts.withColumn("_end", F.sum("_n").over(window))
+        counts = counts.withColumn("_end", _running([*within, "_slot"], by))
     before = F.col("_end") - F.col("_n")
     return (
         counts.where((F.col("_rank") >= before) & (F.col("_rank") < F.col("_end")))

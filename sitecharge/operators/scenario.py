@@ -92,3 +92,22 @@ def priced_scenarios(tables: Tables, ties: str = KEEP) -> DataFrame:
     """Applying charges with the sum of their custom parts."""
     custom = custom_charges(tables).select("scenario_charge_id", "custom_sum_charge_per_unit")
     return applying_charges(tables, ties).join(custom, "scenario_charge_id", "left")
+
+
+def folded_scenarios(tables: Tables, ties: str = KEEP) -> DataFrame:
+    """Priced scenarios with equal charges of a scenario folded into ``charge_copies``."""
+    parts = [
+        "labour_charge_per_unit",
+        "materials_charge_per_unit",
+        "overhead_charge_per_unit",
+        "overridden_charge_per_unit",
+        "custom_sum_charge_per_unit",
+    ]
+    return (
+        priced_scenarios(tables, ties)
+        .groupBy("scenario_id", "scen_uom", *parts)
+        .agg(
+            F.sum("charge_copies").alias("charge_copies"),
+            F.max("first_charge").alias("first_charge"),
+        )
+    )

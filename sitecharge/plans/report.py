@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from sitecharge.functions.names import upper_names
 from sitecharge.functions.numeric import round_cents, round_percent
 from sitecharge.operators.dimensions import reportable_sites
-from sitecharge.operators.jobs import priced_totals, turned_on_dates
+from sitecharge.operators.jobs import turned_on_dates
 from sitecharge.operators.metrics import MaterialsRule, adjusted_values, site_ratios
 from sitecharge.operators.outliers import SITE_PERIOD, OutlierRule, charge_bounds
 from sitecharge.operators.periods import MIDNIGHT, Period, year_to_date
+from sitecharge.operators.pricing import priced_totals
 from sitecharge.operators.rollup import REPORT_MEASURES, charge_groups, site_rollup
 from sitecharge.operators.scenario import KEEP
 from sitecharge.plans.staging import Staging

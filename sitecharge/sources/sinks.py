@@ -6,6 +6,8 @@ apart by UPDATED_AT; ``replace_period`` overwrites exactly the periods being wri
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,13 +63,18 @@ def create_report(spark: SparkSession, target: str, id_type: str = "bigint") ->
     empty.write.partitionBy(PARTITION).format("parquet").saveAsTable(target)
 
 
-def read_report(spark: SparkSession, target: str, id_type: str = "bigint") -> DataFrame:
-    schema = report_schema(id_type)
-    if _is_path(target):
-        found = spark.read.schema(schema).parquet(target)
-    else:
-        found = spark.table(target)
-    return found.select(*schema.names)
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    files, where = _folder(spark, path)
+    return any(status.isDirectory() for status in files.listStatus(where))
+
+
+def read_report(spark: SparkSession, target: str) -> DataFrame:
+    names = report_schema().names
+    if not _is_path(target):
+        return spark.table(target).select(*names)
+    if not _has_rows(spark, target):
+        return spark.createDataFrame([], report_schema())
+    return spark.read.parquet(target).select(*names)
 
 
 def _check_target(report: DataFrame, target: str) -> None:
@@ -80,7 +87,7 @@ def _check_target(report: DataFrame, target: str) -> None:
         files, where = _folder(spark, target)
         if not files.exists(where):
             raise ValueError(f"report folder {target} does not exist")
-        if not any(s.isDirectory() for s in files.listStatus(where)):
+        if not _has_rows(spark, target):
             return
         have = spark.read.parquet(target).schema
     wanted = {f.name: f.dataType for f in report.schema.fields}
@@ -90,6 +97,21 @@ def _check_target(report: DataFrame, target: str) -> None:
         raise ValueError(f"columns of {target} differ from the report: {', '.join(odd)}")
 
 
+@contextmanager
+def _only_written_partitions(spark: SparkSession):
+    """Overwriting a catalog table replaces the partitions of the new rows and no others.
+
+    Inserts into catalog tables take this from the session, not from writer options.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_report(report: DataFrame, target: str, mode: str = "append") -> None:
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
@@ -99,6 +121,7 @@ def write_report(report: DataFrame, target: str, mode: str = "append") -> None:
         writer = report.write.partitionBy(PARTITION).option("partitionOverwriteMode", "dynamic")
         writer.mode("overwrite" if replace else "append").parquet(target)
         return
-    columns = report.sparkSession.table(target).columns
-    writer = report.select(*columns).write.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(target, overwrite=replace)
+    spark = report.sparkSession
+    rows = report.select(*spark.table(target).columns)
+    with _only_written_partitions(spark):
+        rows.write.insertInto(target, overwrite=replace)
