@@ -25,6 +25,7 @@ def local_session(cpus: int = 8) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

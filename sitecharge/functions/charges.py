@@ -5,36 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sitecharge.functions.numeric import float_divide, total
+from sitecharge.functions.numeric import float_divide
 
 # Labels of the fallback rungs, in order, and of the case where none applies.
 FILL_TYPES = ["fcpu", "overridden", "sum_scenario", "sum_scenario_wo_custom", "no_charge"]
 
 
-def _rungs() -> dict[str, Column]:
-    """Candidate charge per fill type, best first. A sum with a missing part is NULL."""
-    parts = [
-        F.col("labour_charge_per_unit"),
-        F.col("materials_charge_per_unit"),
-        F.col("overhead_charge_per_unit"),
-    ]
-    return {
-        "fcpu": F.col("final_charge_per_unit"),
-        "overridden": F.col("overridden_charge_per_unit"),
-        "sum_scenario": total(*parts, F.col("custom_sum_charge_per_unit")),
-        "sum_scenario_wo_custom": total(*parts),
-    }
+_THREE_PARTS = "labour_charge_per_unit + materials_charge_per_unit + overhead_charge_per_unit"
+
+# Candidate charge per fill type, best first. A sum with a missing part is NULL.
+_RUNGS = {
+    "fcpu": "final_charge_per_unit",
+    "overridden": "overridden_charge_per_unit",
+    "sum_scenario": f"{_THREE_PARTS} + custom_sum_charge_per_unit",
+    "sum_scenario_wo_custom": _THREE_PARTS,
+}
 
 
 def imputed_charge() -> Column:
     """First candidate above zero, else 0."""
-    return F.coalesce(*[F.when(c > 0, c) for c in _rungs().values()], F.lit(0.0))
+    whens = " ".join(f"WHEN {charge} > 0 THEN {charge}" for charge in _RUNGS.values())
+    return F.expr(f"CASE {whens} ELSE 0D END")
 
 
 def fill_type() -> Column:
     """Which candidate ``imputed_charge`` took."""
-    labels = [F.when(c > 0, F.lit(label)) for label, c in _rungs().items()]
-    return F.coalesce(*labels, F.lit("no_charge"))
+    whens = " ".join(f"WHEN {charge} > 0 THEN '{label}'" for label, charge in _RUNGS.items())
+    return F.expr(f"CASE {whens} ELSE 'no_charge' END")
 
 
 def modified_quantity(quantity: Column) -> Column:
@@ -42,5 +39,5 @@ def modified_quantity(quantity: Column) -> Column:
 
     Without scenario unit the quantity stays. An unknown produced unit counts as different.
     """
-    differs = F.col("scen_uom").isNotNull() & ~F.col("uom_produced").eqNullSafe(F.col("scen_uom"))
+    differs = F.expr("scen_uom IS NOT NULL AND NOT uom_produced <=> scen_uom")
     return F.when(differs, float_divide(quantity, F.col("case_ratio"))).otherwise(quantity)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,11 +18,6 @@ def float_divide(a: Column, b: Column) -> Column:
     return nan_to_null(F.when(b == 0, by_zero).otherwise(F.try_divide(a, b)))
 
 
-def total(*terms: Column) -> Column:
-    """Left-to-right sum; NULL as soon as one term is."""
-    return reduce(lambda x, y: x + y, terms)
-
-
 def round_cents(x: Column) -> Column:
     """Two decimals, decided on the exact binary value (as C-style formatting decides).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # How the last day of a period counts: up to its first instant only, or in full.
@@ -27,11 +27,11 @@ def year_to_date(as_of: date) -> list[Period]:
     return [Period(a, b - timedelta(days=1)) for a, b in zip(starts, starts[1:])]
 
 
-def _inside(moment: Column, first: date, last: date, end: str) -> Column:
+def _inside(moment: str, first: date, last: date, end: str) -> str:
     if end == FULL_DAY:
-        return (moment >= F.lit(first)) & (moment < F.lit(last + timedelta(days=1)))
+        return f"({moment} >= DATE'{first}' AND {moment} < DATE'{last + timedelta(days=1)}')"
     if end == MIDNIGHT:
-        return (moment >= F.lit(first)) & (moment <= F.lit(last))
+        return f"({moment} >= DATE'{first}' AND {moment} <= DATE'{last}')"
     raise ValueError(f"unknown end rule {end!r}")
 
 
@@ -44,30 +44,27 @@ def tag_periods(df: DataFrame, moment: str, periods: list[Period], end: str = MI
     if not periods:
         none = F.lit(None).cast("date")
         return df.where(F.lit(False)).withColumns({name: none for name in PERIOD})
-    at = F.col(moment)
     ordered = sorted(set(periods))
-    hull = _inside(at, min(p.start for p in ordered), max(p.end for p in ordered), end)
+    hull = _inside(moment, ordered[0].start, max(p.end for p in ordered), end)
+    inside = [_inside(moment, p.start, p.end, end) for p in ordered]
     if all(a.end < b.start for a, b in zip(ordered, ordered[1:])):
         # A start date names its period; plain dates keep the per-row work on the fact small.
-        starts = [F.when(_inside(at, p.start, p.end, end), F.lit(p.start)) for p in ordered]
-        ends = [F.when(F.col("start_date") == F.lit(p.start), F.lit(p.end)) for p in ordered]
+        starts = [f"WHEN {i} THEN DATE'{p.start}'" for i, p in zip(inside, ordered)]
+        ends = [f"WHEN DATE'{p.start}' THEN DATE'{p.end}'" for p in ordered]
         return (
             df.where(hull)
-            .withColumn("start_date", F.coalesce(*starts))
-            .where(F.col("start_date").isNotNull())
-            .withColumn("end_date", F.coalesce(*ends))
+            .withColumn("start_date", F.expr(f"CASE {' '.join(starts)} END"))
+            .where("start_date IS NOT NULL")
+            .withColumn("end_date", F.expr(f"CASE start_date {' '.join(ends)} END"))
         )
     spans = [
-        F.when(
-            _inside(at, p.start, p.end, end),
-            F.struct(F.lit(p.start).alias("start_date"), F.lit(p.end).alias("end_date")),
-        )
-        for p in ordered
+        f"IF({i}, named_struct('start_date', DATE'{p.start}', 'end_date', DATE'{p.end}'), NULL)"
+        for i, p in zip(inside, ordered)
     ]
     return (
         df.where(hull)
-        .withColumn("_period", F.explode(F.array(*spans)))
-        .where(F.col("_period").isNotNull())
-        .withColumns({name: F.col("_period")[name] for name in PERIOD})
+        .withColumn("_period", F.expr(f"explode(array({', '.join(spans)}))"))
+        .where("_period IS NOT NULL")
+        .withColumns({name: F.col(f"_period.{name}") for name in PERIOD})
         .drop("_period")
     )

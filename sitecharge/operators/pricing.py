@@ -9,6 +9,7 @@ from sitecharge.operators.dimensions import owned_sites, weighted_item_units
 from sitecharge.operators.jobs import QUANTITY, job_totals, period_jobs
 from sitecharge.operators.periods import MIDNIGHT, PERIOD, Period
 from sitecharge.operators.scenario import KEEP, folded_scenarios, priced_scenarios
+from sitecharge.operators.skew import left_join
 from sitecharge.sources.tables import Tables
 
 _PARTS = [
@@ -57,7 +58,7 @@ def merged_jobs(
     after the other, but scans the jobs once and moves them for one join only: prices are put
     together per work order first. ``copies`` is the multiplicity of a row.
     """
-    priced = unit_work_orders(tables).join(priced_scenarios(tables, ties), "scenario_id", "left")
+    priced = left_join(unit_work_orders(tables), priced_scenarios(tables, ties), "scenario_id")
     return (
         period_jobs(tables, periods, end=end)
         .join(owned_sites(tables), "site_id")
@@ -119,18 +120,11 @@ def pricing_totals(
     )
 
 
-def priced_totals(
-    tables: Tables,
-    sites: DataFrame,
-    periods: list[Period],
-    end: str = MIDNIGHT,
-    ties: str = KEEP,
-) -> DataFrame:
-    """Pricing totals of ``sites``, one row per distinct applying charge."""
+def priced_totals(tables: Tables, totals: DataFrame, ties: str = KEEP) -> DataFrame:
+    """Pricing totals, one row per distinct applying charge; ``totals`` is best a stored table."""
     first = F.coalesce("first_charge", F.lit(True))
     return (
-        pricing_totals(tables, sites, periods, end)
-        .join(folded_scenarios(tables, ties), "scenario_id", "left")
+        left_join(totals, folded_scenarios(tables, ties), "scenario_id")
         .withColumns(
             {
                 "copies": _or_one("charge_copies"),

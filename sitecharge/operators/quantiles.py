@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 # Largest number of histogram rows of one group that may be held in one buffer.
-BUFFERED_GROUP_ROWS = 1_000_000
+BUFFERED_GROUP_ROWS = 250_000
 
 _COARSE_BITS = 10
 _FINE_BITS = 31

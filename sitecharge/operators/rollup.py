@@ -6,11 +6,10 @@ unit charge alone, so the fold can be stored once and serves both the bounds and
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitecharge.functions.charges import FILL_TYPES
-from sitecharge.functions.numeric import nan_to_null
 from sitecharge.operators.impute import impute
 from sitecharge.operators.outliers import OutlierRule, flag_outliers
 from sitecharge.operators.periods import PERIOD
@@ -50,34 +49,35 @@ REPORT_MEASURES = [
 ]
 
 
-def _measures() -> dict[str, Column]:
-    weight = F.col("job_rows") * F.col("copies")
-    quantity = F.col("modified_quantity") * F.col("copies")
+def _measures() -> dict[str, str]:
+    """SQL of every measure; rows count job_rows * copies times."""
+    weight = "job_rows * copies"
     out = {
-        "n": F.sum(weight),
-        "total_num_jobs": F.sum(F.col("job_count") * F.col("copies")),
-        "total_number_of_projects": F.sum("project_rows"),
-        "first_job_created_date": F.min("first_created_at"),
-        "last_job_created_date": F.max("last_created_at"),
+        "n": f"sum({weight})",
+        "total_num_jobs": "sum(job_count * copies)",
+        "total_number_of_projects": "sum(project_rows)",
+        "first_job_created_date": "min(first_created_at)",
+        "last_job_created_date": "max(last_created_at)",
     }
     for name, unit in _MONEY.items():
-        out[name] = F.sum(nan_to_null(F.col(unit) * quantity))
+        # an infinite quantity times a zero charge is no value
+        out[name] = f"sum(nullif({unit} * (modified_quantity * copies), double('NaN')))"
     for name, unit in _POSITIVE.items():
-        out[name] = F.sum(F.when(F.col(unit) > 0, weight).otherwise(0))
+        out[name] = f"sum(CASE WHEN {unit} > 0 THEN {weight} ELSE 0 END)"
     for label in FILL_TYPES:
-        out[f"{label}_fill"] = F.sum(F.when(F.col("fill_type") == label, weight).otherwise(0))
+        out[f"{label}_fill"] = f"sum(CASE WHEN fill_type = '{label}' THEN {weight} ELSE 0 END)"
     return out
 
 
 def charge_groups(priced: DataFrame, measures: list[str] | None = None) -> DataFrame:
-    """Fold priced work-order totals per (period, site keys, imputed unit charge).
+    """Fold priced totals per (period, site keys, imputed unit charge).
 
     The imputed charge is part of the shuffle key, so the rows of one big site spread out, and a
     charge that very many rows share (0, say) is combined before the shuffle.
     """
     made = _measures()
     names = list(made) if measures is None else measures
-    return impute(priced).groupBy(*_GROUP).agg(*[made[n].alias(n) for n in names])
+    return impute(priced).groupBy(*_GROUP).agg(*[F.expr(f"{made[n]} AS {n}") for n in names])
 
 
 def site_rollup(
@@ -85,25 +85,18 @@ def site_rollup(
 ) -> DataFrame:
     """One row per (period, company, account, site). Sums without any value are 0."""
     flagged = flag_outliers(groups, bounds, "imputed_charge_per_unit", rule)
-    kept = (F.col("outlier_charge") == 0) & (F.col("imputed_charge_per_unit") > 0)
     aggs = {
-        "total_charge_impute": F.sum(
-            F.when(F.col("outlier_charge") == 0, F.col("total_charge"))
-        ),
-        "charge_fill_rate": F.sum(
-            F.when(F.col("imputed_charge_per_unit") > 0, F.col("n")).otherwise(0)
-        ),
-        "charge_fill_rate_wo_outliers": F.sum(F.when(kept, F.col("n")).otherwise(0)),
-        "num_outliers": F.sum(F.col("outlier_charge") * F.col("n")),
+        "total_charge_impute": "sum(CASE WHEN outlier_charge = 0 THEN total_charge END)",
+        "charge_fill_rate": "sum(CASE WHEN imputed_charge_per_unit > 0 THEN n ELSE 0 END)",
+        "charge_fill_rate_wo_outliers": "sum(CASE WHEN outlier_charge = 0"
+        " AND imputed_charge_per_unit > 0 THEN n ELSE 0 END)",
+        "num_outliers": "sum(outlier_charge * n)",
     }
-    present = [c for c in groups.columns if c not in (*_GROUP, "n")]
-    for name in present:
-        if name == "first_job_created_date":
-            aggs[name] = F.min(name)
-        elif name == "last_job_created_date":
-            aggs[name] = F.max(name)
-        else:
-            aggs[name] = F.sum(name)
-    for name in ["total_charge_impute", *[m for m in _MONEY if m in aggs]]:
-        aggs[name] = F.coalesce(aggs[name], F.lit(0.0))
-    return flagged.groupBy(*SITE_KEYS).agg(*[c.alias(n) for n, c in aggs.items()])
+    over = {"first_job_created_date": "min", "last_job_created_date": "max"}
+    for name in groups.columns:
+        if name not in (*_GROUP, "n"):
+            aggs[name] = f"{over.get(name, 'sum')}({name})"
+    for name in ("total_charge_impute", *_MONEY):
+        if name in aggs:
+            aggs[name] = f"coalesce({aggs[name]}, 0D)"
+    return flagged.groupBy(*SITE_KEYS).agg(*[F.expr(f"{a} AS {n}") for n, a in aggs.items()])

@@ -21,3 +21,15 @@ def attach_by_key(
     salt = F.pmod(F.xxhash64(F.col(spread)), F.lit(salts)).cast("int")
     repeated = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("_salt", salt).join(repeated, [*on, "_salt"]).drop("_salt")
+
+
+def left_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """Left join whose fan-out may be split on either side.
+
+    Adaptive execution splits an oversized partition of an outer join on the preserved side only.
+    Written as inner join plus the rows without a match, a key with very many rows on the right is
+    split too. ``left`` is read twice: pass a stored table or a cheap plan.
+    """
+    matched = left.join(right, on)
+    unmatched = left.join(right.select(on).distinct(), on, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -15,7 +15,7 @@ from sitecharge.operators.jobs import turned_on_dates
 from sitecharge.operators.metrics import MaterialsRule, adjusted_values, site_ratios
 from sitecharge.operators.outliers import SITE_PERIOD, OutlierRule, charge_bounds
 from sitecharge.operators.periods import MIDNIGHT, Period, year_to_date
-from sitecharge.operators.pricing import priced_totals
+from sitecharge.operators.pricing import priced_totals, pricing_totals
 from sitecharge.operators.rollup import REPORT_MEASURES, charge_groups, site_rollup
 from sitecharge.operators.scenario import KEEP
 from sitecharge.plans.staging import Staging
@@ -37,6 +37,21 @@ class ReportOptions:
     materials: MaterialsRule = field(default_factory=MaterialsRule)
 
 
+def needed_totals(
+    tables: Tables,
+    periods: list[Period],
+    options: ReportOptions = ReportOptions(),
+    measures: list[str] | None = None,
+    sites: DataFrame | None = None,
+) -> DataFrame:
+    """Pricing totals, without the creation dates where no measure reads them."""
+    chosen = reportable_sites(tables) if sites is None else sites
+    totals = pricing_totals(tables, chosen, periods, options.end)
+    if measures is None or "first_job_created_date" in measures:
+        return totals
+    return totals.drop("first_created_at", "last_created_at")
+
+
 def stored_groups(
     tables: Tables,
     periods: list[Period],
@@ -45,9 +60,13 @@ def stored_groups(
     measures: list[str] | None = None,
     sites: DataFrame | None = None,
 ) -> DataFrame:
-    """Charge groups of the periods, computed from one scan of the jobs and stored."""
-    chosen = reportable_sites(tables) if sites is None else sites
-    priced = priced_totals(tables, chosen, periods, options.end, options.ties)
+    """Charge groups of the periods, from one scan of the jobs.
+
+    Stored twice on the way: the totals, behind which the jobs are not needed any more, and the
+    groups, which bounds and rollup both read.
+    """
+    totals = staging.store(needed_totals(tables, periods, options, measures, sites), "totals")
+    priced = priced_totals(tables, totals, options.ties)
     return staging.store(charge_groups(priced, measures), "charge_groups")
 
 

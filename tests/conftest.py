@@ -18,6 +18,9 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
+        .config("spark.sql.maxMetadataStringLength", "5000")
+        .config("spark.sql.debug.maxToStringFields", "500")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()

@@ -7,6 +7,9 @@ import random
 from collections import defaultdict
 from datetime import date, datetime, time, timedelta
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_type
+
 from sitecharge.sources.schemas import input_schema
 from sitecharge.sources.tables import load_tables
 
@@ -56,9 +59,10 @@ def spark_tables(spark, world):
     def read(name):
         schema = input_schema(name)
         names = COLUMNS[name].split()
-        order = [names.index(field.name) for field in schema.fields]
-        rows = [tuple(row[i] for i in order) for row in world[name]]
-        return spark.createDataFrame(rows, schema)
+        columns = {n: [row[i] for row in world[name]] for i, n in enumerate(names)}
+        arrays = [pa.array(columns[f.name], to_arrow_type(f.dataType)) for f in schema.fields]
+        rows = pa.Table.from_arrays(arrays, names=schema.names)
+        return spark.createDataFrame(rows, schema).coalesce(2)
 
     return load_tables(read)
 
