@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sitecharge.functions.dates import closed_months, coerce_datetimes, date_text, datetime_text
 from sitecharge.functions.numeric import money_text, parse_money, parse_percent, percent_text
-from sitecharge.operators import dimensions, impute, jobs, metrics, outliers, pricing, scenario
+from sitecharge.operators import dimensions, impute, jobs, metrics, pricing, scenario
 from sitecharge.operators.periods import FULL_DAY, Period, year_to_date
 from sitecharge.plans import report
 from sitecharge.plans.session import configure
@@ -55,18 +55,10 @@ class Run:
         return pricing.merged_jobs(self.tables, self.periods)
 
     def flagged(self) -> DataFrame:
-        """Imputed job rows with the outlier flag; stored once, as bounds and rows both need them."""
-        rows = self.staging.store(impute.impute(self.merged()), "imputed")
-        hist = self.staging.store(outliers.charge_histogram(rows), "histogram")
-        return outliers.flag_outliers(rows, outliers.charge_bounds(hist), "job_id")
+        return report.flagged_jobs(self.tables, self.periods, self.staging)
 
     def bounds(self) -> DataFrame:
-        """Bounds of all active sites, those without known owner included."""
-        sites = dimensions.owned_sites(self.tables).select("company_id", "account_id", "site_id")
-        groups = report.stored_groups(
-            self.tables, self.periods, self.staging, measures=["n"], sites=sites
-        )
-        return report.bounds_of(groups)
+        return report.site_bounds(self.tables, self.periods, self.staging)
 
     def rollup(self) -> DataFrame:
         return report.build_rollup(self.tables, self.periods, self.staging)

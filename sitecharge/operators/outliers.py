@@ -27,14 +27,6 @@ class OutlierRule:
     salts: int = SALTS
 
 
-def charge_histogram(rows: DataFrame, weight: str = "copies") -> DataFrame:
-    """Number of rows per (period, site, imputed charge)."""
-    return (
-        rows.groupBy(*SITE_PERIOD, "imputed_charge_per_unit")
-        .agg(F.sum(weight).alias("n"))
-    )
-
-
 def charge_bounds(hist: DataFrame, rule: OutlierRule = OutlierRule()) -> DataFrame:
     """Median, quantile, MAD and upper bound per (period, site).
 

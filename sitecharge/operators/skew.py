@@ -8,16 +8,26 @@ from pyspark.sql import functions as F
 SALTS = 32
 
 
+def broadcastable(df: DataFrame) -> bool:
+    """Whether Spark puts the size of ``df`` below the session's broadcast threshold."""
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def attach_by_key(
     rows: DataFrame, facts: DataFrame, on: list[str], spread: str, salts: int = SALTS
 ) -> DataFrame:
     """Inner join of ``rows`` with the one-row-per-key ``facts``.
 
-    The rows of a key are dealt over ``salts`` parts by a hash of column ``spread`` and the facts
-    are repeated once per part. A hot key then meets its facts in many tasks; and since the join
-    key is finer than any later grouping by ``on``, adaptive execution may split a part further.
-    Nothing is broadcast unless Spark has measured the facts to be below its threshold.
+    Facts below the broadcast threshold are joined plainly. Otherwise the rows of a key are dealt
+    over ``salts`` parts by a hash of column ``spread`` and the facts are repeated once per part:
+    a hot key then meets its facts in many tasks, and since the join key is finer than any later
+    grouping by ``on``, adaptive execution may split a part further.
     """
+    if broadcastable(facts):
+        return rows.join(facts, on)
     salt = F.pmod(F.xxhash64(F.col(spread)), F.lit(salts)).cast("int")
     repeated = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("_salt", salt).join(repeated, [*on, "_salt"]).drop("_salt")

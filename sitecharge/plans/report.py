@@ -10,12 +10,18 @@ from pyspark.sql import functions as F
 
 from sitecharge.functions.names import upper_names
 from sitecharge.functions.numeric import round_cents, round_percent
-from sitecharge.operators.dimensions import reportable_sites
+from sitecharge.operators.dimensions import owned_sites, reportable_sites
+from sitecharge.operators.impute import impute
 from sitecharge.operators.jobs import turned_on_dates
 from sitecharge.operators.metrics import MaterialsRule, adjusted_values, site_ratios
-from sitecharge.operators.outliers import SITE_PERIOD, OutlierRule, charge_bounds
+from sitecharge.operators.outliers import (
+    SITE_PERIOD,
+    OutlierRule,
+    charge_bounds,
+    flag_outliers,
+)
 from sitecharge.operators.periods import MIDNIGHT, Period, year_to_date
-from sitecharge.operators.pricing import priced_totals, pricing_totals
+from sitecharge.operators.pricing import merged_jobs, priced_totals, pricing_totals
 from sitecharge.operators.rollup import REPORT_MEASURES, charge_groups, site_rollup
 from sitecharge.operators.scenario import KEEP
 from sitecharge.plans.staging import Staging
@@ -75,6 +81,34 @@ def bounds_of(groups: DataFrame, options: ReportOptions = ReportOptions()) -> Da
     return charge_bounds(hist, options.outliers)
 
 
+def site_bounds(
+    tables: Tables,
+    periods: list[Period],
+    staging: Staging,
+    options: ReportOptions = ReportOptions(),
+) -> DataFrame:
+    """Bounds of all active sites, those without known owner included; a stored table."""
+    sites = owned_sites(tables).select("company_id", "account_id", "site_id")
+    groups = stored_groups(tables, periods, staging, options, ["n"], sites)
+    return staging.store(bounds_of(groups, options), "bounds")
+
+
+def flagged_jobs(
+    tables: Tables,
+    periods: list[Period],
+    staging: Staging,
+    options: ReportOptions = ReportOptions(),
+) -> DataFrame:
+    """Imputed job rows with the outlier flag.
+
+    The bounds come from the folded totals, so the job rows themselves are neither stored nor
+    gathered per site: they pass through once.
+    """
+    bounds = site_bounds(tables, periods, staging, options)
+    rows = impute(merged_jobs(tables, periods, options.end, options.ties))
+    return flag_outliers(rows, bounds, "job_id", options.outliers)
+
+
 def build_rollup(
     tables: Tables,
     periods: list[Period],
