@@ -1 +1 @@
-"""Monthly order-value reporting per production site, as Spark DataFrame stages."""
+"""Monthly value reporting per production site, as Spark DataFrame stages."""

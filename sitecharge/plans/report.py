@@ -145,6 +145,7 @@ def shape_report(values: DataFrame, turned_on: DataFrame) -> DataFrame:
     )
     rounded = {name: round_percent(F.col(name)) for name in PERCENT_COLUMNS}
     rounded.update({name: round_cents(F.col(name)) for name in MONEY_COLUMNS})
+    rounded["DATE_OV_TURNED_ON"] = F.col("DATE_OV_TURNED_ON").cast("timestamp_ntz")
     return named.withColumns(rounded).select(*REPORT_COLUMNS)
 
 

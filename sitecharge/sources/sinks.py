@@ -77,24 +77,31 @@ def read_report(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).select(*names)
 
 
-def _check_target(report: DataFrame, target: str) -> None:
-    spark = report.sparkSession
+def _target_schema(spark: SparkSession, target: str) -> T.StructType | None:
+    """Columns of an existing target; None for a folder that has no rows yet."""
     if not _is_path(target):
         if not spark.catalog.tableExists(target):
             raise ValueError(f"report table {target} does not exist")
-        have = spark.table(target).schema
-    else:
-        files, where = _folder(spark, target)
-        if not files.exists(where):
-            raise ValueError(f"report folder {target} does not exist")
-        if not _has_rows(spark, target):
-            return
-        have = spark.read.parquet(target).schema
-    wanted = {f.name: f.dataType for f in report.schema.fields}
-    found = {f.name: f.dataType for f in have.fields}
+        return spark.table(target).schema
+    files, where = _folder(spark, target)
+    if not files.exists(where):
+        raise ValueError(f"report folder {target} does not exist")
+    return spark.read.parquet(target).schema if _has_rows(spark, target) else None
+
+
+def _fitted(report: DataFrame, target: str) -> DataFrame:
+    """The report with the id types and column order of the target, which has to match otherwise."""
+    schema = _target_schema(report.sparkSession, target)
+    if schema is None:
+        return report
+    ids = {f.name: f.dataType for f in schema.fields if f.name in ID_COLUMNS}
+    cast = report.withColumns({name: F.col(name).cast(kind) for name, kind in ids.items()})
+    wanted = {f.name: f.dataType for f in cast.schema.fields}
+    found = {f.name: f.dataType for f in schema.fields}
     if wanted != found:
         odd = sorted(n for n in {*wanted, *found} if wanted.get(n) != found.get(n))
         raise ValueError(f"columns of {target} differ from the report: {', '.join(odd)}")
+    return cast.select(*schema.names)
 
 
 @contextmanager
@@ -115,13 +122,11 @@ def _only_written_partitions(spark: SparkSession):
 def write_report(report: DataFrame, target: str, mode: str = "append") -> None:
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
-    _check_target(report, target)
+    rows = _fitted(report, target)
     replace = mode == "replace_period"
     if _is_path(target):
-        writer = report.write.partitionBy(PARTITION).option("partitionOverwriteMode", "dynamic")
+        writer = rows.write.partitionBy(PARTITION).option("partitionOverwriteMode", "dynamic")
         writer.mode("overwrite" if replace else "append").parquet(target)
         return
-    spark = report.sparkSession
-    rows = report.select(*spark.table(target).columns)
-    with _only_written_partitions(spark):
+    with _only_written_partitions(report.sparkSession):
         rows.write.insertInto(target, overwrite=replace)

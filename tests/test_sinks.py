@@ -64,6 +64,16 @@ def test_target_must_exist_and_match(spark, tmp_path):
         write_report(report, folder, "merge")
 
 
+def test_ids_take_the_type_of_the_table(spark):
+    spark.sql("DROP TABLE IF EXISTS text_report")
+    create_report(spark, "text_report", id_type="string")
+    world = base_world()
+    world["jobs"] = [job(1)]
+    run_report(spark_tables(spark, world), MARCH, "text_report", loaded_at=FIRST)
+    (row,) = read_report(spark, "text_report").collect()
+    assert (row.COMPANY_ID, row.ACCOUNT_ID, row.SITE_ID) == ("1", "10", "100")
+
+
 def test_rendered_dates(spark):
     world = base_world()
     world["work_orders"] = [(1000, 7, 70, 3.0)]
