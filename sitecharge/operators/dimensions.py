@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitecharge.operators.skew import small_side
 from sitecharge.sources.tables import Tables
 
 
@@ -19,8 +20,13 @@ def active_sites(tables: Tables) -> DataFrame:
     sites = tables.sites.where("active").withColumnRenamed("account_id", "_site_account_id")
     return sites.join(
         accounts, F.col("_site_account_id") == F.col("account_id"), "left"
-    ).select("company_id", "account_id", "enable_order_value_pricing_model", "site_id",
-             "_site_account_id")
+    ).select(
+        "company_id",
+        "account_id",
+        "enable_order_value_pricing_model",
+        "site_id",
+        "_site_account_id",
+    )
 
 
 def site_projection(tables: Tables) -> DataFrame:
@@ -40,6 +46,11 @@ def owned_sites(tables: Tables) -> DataFrame:
     )
 
 
+def site_lookup(tables: Tables, sites: DataFrame) -> DataFrame:
+    """``sites`` (one row per site id) for a join with the fact: broadcast when small."""
+    return small_side(sites, tables.sites, tables.accounts, tables.companies)
+
+
 def reportable_sites(tables: Tables) -> DataFrame:
     """Owned sites that can appear in the report: no part of the group key is unknown."""
     return (

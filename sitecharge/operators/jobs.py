@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitecharge.operators.dimensions import item_units
+from sitecharge.operators.dimensions import item_units, site_lookup
 from sitecharge.operators.periods import MIDNIGHT, PERIOD, Period, tag_periods
 from sitecharge.operators.scenario import KEEP, applying_charges, priced_scenarios, scenario_picks
 from sitecharge.sources.tables import Tables
@@ -84,7 +84,7 @@ def scenario_charges(
     return (
         period_jobs(tables, periods, MIN_SCENARIOQUANTITY, end)
         .join(orders, "work_order_id")
-        .join(accounts, "site_id", "left")
+        .join(site_lookup(tables, accounts), "site_id", "left")
         .select(
             *PERIOD,
             "account_id",

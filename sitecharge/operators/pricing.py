@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitecharge.operators.dimensions import owned_sites, weighted_item_units
+from sitecharge.operators.dimensions import owned_sites, site_lookup, weighted_item_units
 from sitecharge.operators.jobs import QUANTITY, job_totals, period_jobs
 from sitecharge.operators.periods import MIDNIGHT, PERIOD, Period
 from sitecharge.operators.scenario import KEEP, folded_scenarios, priced_scenarios
@@ -61,7 +61,7 @@ def merged_jobs(
     priced = left_join(unit_work_orders(tables), priced_scenarios(tables, ties), "scenario_id")
     return (
         period_jobs(tables, periods, end=end)
-        .join(owned_sites(tables), "site_id")
+        .join(site_lookup(tables, owned_sites(tables)), "site_id")
         .join(priced, "work_order_id", "left")
         .select(
             *PERIOD,
@@ -96,7 +96,7 @@ def pricing_totals(
     copies = _or_one("context_copies")
     return (
         job_totals(tables, periods, end)
-        .join(sites, "site_id")
+        .join(site_lookup(tables, sites), "site_id")
         .join(unit_work_orders(tables), "work_order_id", "left")
         .withColumn("case_ratio", _account_case_ratio())
         .groupBy(

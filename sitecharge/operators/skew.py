@@ -16,6 +16,16 @@ def broadcastable(df: DataFrame) -> bool:
     return int(str(size)) <= limit
 
 
+def small_side(df: DataFrame, *made_of: DataFrame) -> DataFrame:
+    """Mark ``df`` for broadcast if every table it is made of is below the threshold.
+
+    For lookups joined from a few dimension tables by their unique keys: such a lookup has at most
+    the rows of the first table, but Spark estimates a join as the product of its sides and would
+    move the fact instead. Beyond the threshold nothing is marked and Spark shuffles.
+    """
+    return F.broadcast(df) if all(broadcastable(part) for part in made_of) else df
+
+
 def attach_by_key(
     rows: DataFrame, facts: DataFrame, on: list[str], spread: str, salts: int = SALTS
 ) -> DataFrame:

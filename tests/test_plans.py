@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_report import MARCH, expect_equal, run
 from world import base_world, job, random_world, spark_tables
 
-from sitecharge.operators.jobs import job_totals, turned_on_dates
+from sitecharge.operators.jobs import job_totals, scenario_charges, turned_on_dates
 from sitecharge.operators.periods import year_to_date
 from sitecharge.operators.pricing import merged_jobs
 from sitecharge.operators.rollup import REPORT_MEASURES
@@ -57,6 +57,16 @@ def test_report_after_the_fold_does_not_touch_jobs_but_for_the_first_starts(spar
         assert banned not in plan
 
 
+def test_jobs_move_for_the_work_order_only(spark, stored):
+    for df in (merged_jobs(stored, PERIODS), scenario_charges(stored, PERIODS)):
+        assert "hashpartitioning(site_id" not in physical(df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Broadcast" not in physical(merged_jobs(stored, PERIODS))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_facts_are_combined_before_they_move(stored):
     for df in (job_totals(stored, PERIODS), turned_on_dates(stored)):
         plan = physical(df)
