@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.maxMetadataStringLength", "5000")

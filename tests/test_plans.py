@@ -81,7 +81,7 @@ def hot_world():
     tied = datetime(2000, 1, 1)
     world["scenarios"].append((77, 1))
     world["scenario_charges"] += [
-        (2000 + i, 77, tied, 1.0 * (i % 4), 0.5, 0.25, None) for i in range(30)
+        (2000 + i, 77, tied, 1.0 * (i % 4), 0.5, 0.25, None) for i in range(12)
     ]
     world["sites"].append((500, 10, True))
     world["work_orders"] += [(5000 + i, 1, 77, None) for i in range(20)]

@@ -41,7 +41,7 @@ def expect_equal(found, world, ties="keep"):
         assert {name: found[key][name] for name in numbers} == numbers, key
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(3))
 def test_random_worlds(spark, seed):
     world = random_world(seed)
     expect_equal(run(spark, world), world)
