@@ -4,18 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sitecharge.llm.minhash import near_duplicates
+from sitecharge.llm.sentencepiece_codec import digests, transcoded
 from sitecharge.llm.shared import table
 
 
+TOKENIZER = "piece_bpe_32k.model"
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(transcoded(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_minhash": op5_minhash}
+    return {
+        "op1_sentencepiece": op1_sentencepiece,
+        "op5_minhash": op5_minhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
