@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sitecharge.llm.minhash import near_duplicates
 from sitecharge.llm.sentencepiece_codec import digests, transcoded
 from sitecharge.llm.shared import table
+from sitecharge.llm.suffixes import removals
 
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -23,10 +24,16 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = removals(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op5_minhash": op5_minhash,
+        "op7_suffix_arrays": op7_suffix_arrays,
     }
 
 
