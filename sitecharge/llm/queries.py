@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sitecharge.llm.minhash import near_duplicates
+from sitecharge.llm.order_minhash import compared_with_edits
 from sitecharge.llm.sentencepiece_codec import digests, transcoded
 from sitecharge.llm.shared import table
 from sitecharge.llm.suffixes import removals
@@ -29,11 +30,16 @@ def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared_with_edits(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op5_minhash": op5_minhash,
         "op7_suffix_arrays": op7_suffix_arrays,
+        "op10_order_minhash": op10_order_minhash,
     }
 
 
