@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sitecharge.llm.minhash import near_duplicates
+from sitecharge.llm.mixing import taken
 from sitecharge.llm.order_minhash import compared_with_edits
 from sitecharge.llm.sentencepiece_codec import digests, transcoded
 from sitecharge.llm.shared import table
@@ -30,6 +31,10 @@ def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken(table(spark, sf_dir, "documents")).drop("source")
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared_with_edits(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sentencepiece": op1_sentencepiece,
         "op5_minhash": op5_minhash,
         "op7_suffix_arrays": op7_suffix_arrays,
+        "op8_mixing": op8_mixing,
         "op10_order_minhash": op10_order_minhash,
     }
 

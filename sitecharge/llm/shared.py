@@ -11,7 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into 8-byte arrays at a time.
@@ -60,29 +60,30 @@ def in_tasks(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
-def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+def ranked(df: DataFrame, order: list[Column], name: str = "rank", sums: dict[str, str] | None = None) -> DataFrame:
     """``df`` (narrow, as it is written once) with its row number from 0 in the given total order.
 
-    Rows are dealt by range; a row's number is its place in its partition plus the sizes of the
-    partitions before it, of which there are only as many as shuffle partitions.
+    ``sums`` maps a column to the name of its running sum over the rows before. Rows are dealt by
+    range; a row's number is its place in its partition plus the sizes of the partitions before it,
+    of which there are only as many as shuffle partitions.
     """
+    sums = sums or {}
     row = F.monotonically_increasing_id()
     placed = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", row))
-    part = F.shiftright("_row", 33)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    later = sizes.select(F.col("_part").alias("_before"), F.col("_n").alias("_m"))
-    starts = (
-        sizes.join(F.broadcast(later), F.col("_before") < F.col("_part"), "left")
-        .groupBy("_part")
-        .agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_start"))
-    )
+    placed = placed.withColumn("_part", F.shiftright("_row", 33))
+    totals = {"_n": F.count("*")} | {f"_n{i}": F.sum(c) for i, c in enumerate(sums)}
+    sizes = placed.groupBy("_part").agg(*(total.alias(n) for n, total in totals.items()))
+    before = sizes.withColumnRenamed("_part", "_before")
+    starts = sizes.select("_part").join(F.broadcast(before), F.col("_before") < F.col("_part"), "left").groupBy("_part")
+    starts = starts.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in totals))
     local = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
-        .withColumn(name, local + F.col("_start"))
-        .drop("_row", "_part", "_start")
-    )
+    earlier = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    for i, (column, out) in enumerate(sums.items()):
+        placed = placed.withColumn(f"_s{i}", F.coalesce(F.sum(column).over(earlier), F.lit(0)))
+    placed = placed.join(F.broadcast(starts), "_part").withColumn(name, local + F.col("_n"))
+    for i, out in enumerate(sums.values()):
+        placed = placed.withColumn(out, F.col(f"_s{i}") + F.col(f"_n{i}"))
+    return placed.drop("_row", "_part", *totals, *(f"_s{i}" for i in range(len(sums))))
 
 
 def _edges(df: DataFrame) -> DataFrame:
