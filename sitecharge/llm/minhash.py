@@ -31,7 +31,7 @@ WORDS = 5
 BANDS = 21
 ROWS = 6
 #: Bytes of text that a block of documents to verify holds about.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -227,8 +227,8 @@ def near_duplicates(
     shared = rows_of.groupBy("band", "key").agg(F.min("rep").alias("center"), F.count("*").alias("n")).where("n > 1")
     members = stored(rows_of.join(shared, ["band", "key"]).select("band", "key", "rep", "center"))
 
-    # the texts of the classes that meet another
-    met = members.select(F.col("rep").alias("doc_id")).distinct()
+    # the texts of the classes that meet another; texts are moved by doc_id whatever the size of the other side
+    met = members.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
     texts = stored(docs.select("doc_id", "text").join(met, "doc_id", "left_semi"))
 
     # every class against the smallest one that it shares a bucket with
@@ -244,7 +244,7 @@ def near_duplicates(
     centers = centers.select(
         F.xxhash64("center", "part").alias("block"), F.col("center").alias("doc_id"), F.col("center").alias("comp"), F.lit(0).alias("side")
     )
-    blocks = others.unionByName(centers).join(texts, "doc_id")
+    blocks = others.unionByName(centers).hint("merge").join(texts, "doc_id")
     links = stored(_verified(blocks, words, threshold))
     label = components(links)
 
@@ -274,7 +274,8 @@ def near_duplicates(
         F.col("rep").alias("doc_id"),
         "comp",
         F.when(F.col("part") == F.col("other"), 2).when(F.col("part") < F.col("other"), 0).otherwise(1).alias("side"),
-    ).join(texts, "doc_id")
+    )
+    blocks = blocks.hint("merge").join(texts, "doc_id")
     more = stored(_verified(blocks, words, threshold))
 
     # rows of one doc_id are one node, whatever classes they are in
