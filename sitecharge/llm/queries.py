@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sitecharge.llm.hilbert import LAW, sharded
 from sitecharge.llm.minhash import near_duplicates
 from sitecharge.llm.mixing import taken
 from sitecharge.llm.order_minhash import compared_with_edits
@@ -22,6 +24,13 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(transcoded(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
 
 
+def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharded(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve"
+    )
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -42,6 +51,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op4_hilbert": op4_hilbert,
         "op5_minhash": op5_minhash,
         "op7_suffix_arrays": op7_suffix_arrays,
         "op8_mixing": op8_mixing,
