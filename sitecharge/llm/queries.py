@@ -12,6 +12,7 @@ from sitecharge.llm.hilbert import LAW, sharded
 from sitecharge.llm.minhash import near_duplicates
 from sitecharge.llm.mixing import taken
 from sitecharge.llm.order_minhash import compared_with_edits
+from sitecharge.llm.quality import judged
 from sitecharge.llm.sentencepiece_codec import digests, transcoded
 from sitecharge.llm.shared import table
 from sitecharge.llm.suffixes import removals
@@ -24,6 +25,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(transcoded(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharded(table(spark, sf_dir, "documents"))
     return found.select(
@@ -51,6 +56,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op2_quality": op2_quality,
         "op4_hilbert": op4_hilbert,
         "op5_minhash": op5_minhash,
         "op7_suffix_arrays": op7_suffix_arrays,
