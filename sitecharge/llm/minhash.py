@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitecharge.llm.shared import Rolling, components, in_tasks, mixed, slices, stored, text_bytes
+from sitecharge.llm.shared import Rolling, components, cuts_of, in_tasks, mixed, slices, stored, text_bytes, whole_blocks
 
 WORDS = 5
 BANDS = 21
@@ -185,25 +185,15 @@ def _verify(batches: Iterator[pa.RecordBatch], words: int, threshold: float) ->
     def links(rows: pa.Table) -> pa.RecordBatch:
         block, ids, comps, sides = (rows.column(i).to_numpy() for i in range(4))
         sets = list(_sets(rows.column(4).combine_chunks(), words))
-        cuts = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]])
+        cuts = cuts_of(block)
         found = []
         for a, b in zip(cuts[:-1], cuts[1:]):
             found += _block_links(ids[a:b], comps[a:b], sides[a:b], sets[a:b], threshold)
         pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(b.nbytes for b in held) > BLOCK_BYTES:
-            rows = pa.Table.from_batches(held)
-            block = rows.column(0).to_numpy()
-            last = int(np.searchsorted(block, block[-1]))
-            if last:
-                yield links(rows.slice(0, last))
-                held = rows.slice(last).to_batches()
-    if held:
-        yield links(pa.Table.from_batches(held))
+    for rows in whole_blocks(batches, BLOCK_BYTES):
+        yield links(rows)
 
 
 def _verified(blocks: DataFrame, words: int, threshold: float) -> DataFrame:

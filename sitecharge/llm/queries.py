@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitecharge.llm.cap_filters import near_vectors
 from sitecharge.llm.hilbert import LAW, sharded
 from sitecharge.llm.minhash import near_duplicates
 from sitecharge.llm.mixing import taken
@@ -29,6 +30,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharded(table(spark, sf_dir, "documents"))
     return found.select(
@@ -57,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op2_quality": op2_quality,
+        "op3_cap_filters": op3_cap_filters,
         "op4_hilbert": op4_hilbert,
         "op5_minhash": op5_minhash,
         "op7_suffix_arrays": op7_suffix_arrays,

@@ -141,6 +141,33 @@ def slices(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int,
         first = last
 
 
+def whole_blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Tables of about ``size`` bytes from rows that are sorted by ``block``, each with whole blocks."""
+    held: list[pa.RecordBatch] = []
+    nbytes = 0
+    for batch in batches:
+        for first in range(0, batch.num_rows, 1000):
+            held.append(batch.slice(first, 1000))
+            nbytes += held[-1].nbytes
+            if nbytes > size:
+                rows = pa.Table.from_batches(held)
+                block = rows.column("block").to_numpy()
+                last = int(np.searchsorted(block, block[-1]))
+                if last:
+                    yield rows.slice(0, last)
+                    held = rows.slice(last).to_batches()
+                    nbytes = sum(b.nbytes for b in held)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def cuts_of(block: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    if not len(block):
+        return np.zeros(1, np.int64)
+    return np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]])
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """64-bit values spread over all bits (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

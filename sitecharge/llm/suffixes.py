@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitecharge.llm.shared import Rolling, in_tasks, mixed, slices, stored, text_bytes
+from sitecharge.llm.shared import Rolling, cuts_of, in_tasks, mixed, slices, stored, text_bytes, whole_blocks
 
 LENGTH = 400
 GRAM = 32
@@ -262,7 +262,7 @@ def _shard(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
             yield out(alone, suffixes.repeats(windows, length), offsets)
         pairs = rows.filter(pa.array(side != 2))
         block = pairs.column("block").to_numpy()
-        cuts = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]]) if len(block) else [0]
+        cuts = cuts_of(block)
         for a, b in zip(cuts[:-1], cuts[1:]):
             whole = pairs.slice(a, b - a)
             side = whole.column("side").to_numpy()
@@ -280,19 +280,8 @@ def _shard(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
             marks[hit[same]] = True
             yield out(left, marks, one_offsets)
 
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        for first in range(0, batch.num_rows, 1000):
-            held.append(batch.slice(first, 1000))
-            if sum(b.nbytes for b in held) > SHARD_BYTES:
-                rows = pa.Table.from_batches(held)
-                block = rows.column("block").to_numpy()
-                last = int(np.searchsorted(block, block[-1]))
-                if last:
-                    yield from repeats(rows.slice(0, last))
-                    held = rows.slice(last).to_batches()
-    if held:
-        yield from repeats(pa.Table.from_batches(held))
+    for rows in whole_blocks(batches, SHARD_BYTES):
+        yield from repeats(rows)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iterator[pa.RecordBatch]:
