@@ -31,7 +31,7 @@ from sitecharge.llm.shared import Rolling, cuts_of, in_tasks, mixed, slices, sto
 LENGTH = 400
 GRAM = 32
 #: Bytes of segments in a shard, about.
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 2 << 20
 #: Windows of a run at most; what is longer continues in another run.
 RUN = 1024
 
