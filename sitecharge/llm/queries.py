@@ -17,6 +17,8 @@ from sitecharge.llm.quality import judged
 from sitecharge.llm.sentencepiece_codec import digests, transcoded
 from sitecharge.llm.shared import table
 from sitecharge.llm.suffixes import removals
+from sitecharge.llm.unit_dedup import ORACLE as UNITS_SQL
+from sitecharge.llm.unit_dedup import unit_report
 
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -45,6 +47,11 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = F.transform("spans", lambda s: F.concat_ws("-", s["first"], s["last"]))
+    return unit_report(table(spark, sf_dir, "documents")).withColumn("spans", F.array_join(shown, ","))
+
+
 def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = removals(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -65,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_cap_filters": op3_cap_filters,
         "op4_hilbert": op4_hilbert,
         "op5_minhash": op5_minhash,
+        "op6_units": op6_units,
         "op7_suffix_arrays": op7_suffix_arrays,
         "op8_mixing": op8_mixing,
         "op10_order_minhash": op10_order_minhash,
@@ -72,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_units": UNITS_SQL}
