@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sitecharge.llm.cap_filters import near_vectors
 from sitecharge.llm.hilbert import LAW, sharded
+from sitecharge.llm.licenses import license_findings
 from sitecharge.llm.minhash import near_duplicates
 from sitecharge.llm.mixing import taken
 from sitecharge.llm.order_minhash import compared_with_edits
@@ -61,6 +62,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_findings(table(spark, sf_dir, "documents"))
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared_with_edits(table(spark, sf_dir, "documents"))
 
@@ -75,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_units": op6_units,
         "op7_suffix_arrays": op7_suffix_arrays,
         "op8_mixing": op8_mixing,
+        "op9_licenses": op9_licenses,
         "op10_order_minhash": op10_order_minhash,
     }
 
