@@ -97,13 +97,16 @@ def schedule(goals: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     return every.select("slot", "place", at.alias("block"), epoch.alias("epoch"), words.alias("words"))
 
 
+def row_hash() -> Column:
+    return F.xxhash64("doc_id", "source", "text")
+
+
 def mixed_documents(
     docs: DataFrame, weights: list[float] = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK_WORDS
 ) -> tuple[DataFrame, DataFrame]:
     """The documents as (row, doc_id, h, size, source, source_size, target), ``row`` being unique, and the mix as
     (slot, place, block, epoch, row, first, last): words [first, last) of a document, slot by slot."""
-    h = F.xxhash64("doc_id", "text")
-    rows = docs.select("doc_id", "source", h.alias("h"), word_count(F.col("text")).alias("size"))
+    rows = docs.select("doc_id", "source", row_hash().alias("h"), word_count(F.col("text")).alias("size"))
     order = [F.col("source").isNull(), F.col("source"), F.col("h"), F.col("doc_id")]
     rows = stored(ranked(rows, order, "row", {"size": "before"}))
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("before").alias("start"))

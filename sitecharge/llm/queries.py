@@ -15,7 +15,7 @@ from sitecharge.llm.minhash import near_duplicates
 from sitecharge.llm.mixing import taken
 from sitecharge.llm.order_minhash import compared_with_edits
 from sitecharge.llm.quality import judged
-from sitecharge.llm.sentencepiece_codec import digests, transcoded
+from sitecharge.llm.sentencepiece_codec import transcoded, with_digests
 from sitecharge.llm.shared import table
 from sitecharge.llm.suffixes import removals
 from sitecharge.llm.unit_dedup import ORACLE as UNITS_SQL
@@ -26,7 +26,8 @@ TOKENIZER = "piece_bpe_32k.model"
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(transcoded(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
+    found = with_digests(transcoded(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

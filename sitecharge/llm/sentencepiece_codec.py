@@ -292,12 +292,10 @@ def transcoded(docs: DataFrame, model_path: str) -> DataFrame:
     )
 
 
-def digests(found: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of what ``transcoded`` returns."""
-    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
-    return found.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(listed, 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+def with_digests(found: DataFrame) -> DataFrame:
+    """What ``transcoded`` returns, with n_tokens, ids_sha256 (of the ids in decimal, joined by commas) and decoded_sha256."""
+    return (
+        found.withColumn("n_tokens", F.size("ids").cast("long"))
+        .withColumn("ids_sha256", F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256))
+        .withColumn("decoded_sha256", F.sha2("decoded", 256))
     )
