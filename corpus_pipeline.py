@@ -22,8 +22,8 @@ TOKENIZER = "piece_bpe_32k.model"
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on ``labels``, does not reject."""
-    rows = quality.scored(docs, table(spark, sf_dir, "labels"))
-    return rows.where(F.col("score") >= quality.THRESHOLD).select(*(f"`{c}`" for c in docs.columns))
+    rows = quality.scored(docs, table(spark, sf_dir, "labels"), name="_score")
+    return rows.where(F.col("_score") >= quality.THRESHOLD).select(*(f"`{c}`" for c in docs.columns))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +42,11 @@ def without_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """All documents, without the strings of 400 bytes that occur elsewhere; characters stay whole."""
     spans, held = suffixes.repeated_bytes(docs)
     kept = suffixes.kept_bytes(spans, held, whole_characters=True).groupBy("text_id").agg(F.min("kept").alias("_kept"))
-    found = spans.select("text_id", "n_removed").join(kept, "text_id", "left")
-    rows = docs.withColumn("_id", suffixes.text_id()).join(found.withColumnRenamed("text_id", "_id"), "_id", "left")
-    text = F.when(F.col("n_removed").isNull(), F.col("text")).otherwise(F.coalesce(F.col("_kept").cast("string"), F.lit("")))
+    found = spans.join(kept, "text_id", "left").select(F.col("text_id").alias("_id"), F.col("n_removed").alias("_removed"), "_kept")
+    rows = docs.withColumn("_id", suffixes.text_id()).join(found, "_id", "left")
+    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.coalesce(F.col("_kept").cast("string"), F.lit("")))
     rows = rows.withColumn("_text", text)
-    n_chars = F.when(F.col("n_removed").isNull(), F.col("n_chars")).otherwise(F.char_length("_text").cast(docs.schema["n_chars"].dataType))
+    n_chars = F.when(F.col("_removed").isNull(), F.col("n_chars")).otherwise(F.char_length("_text").cast(docs.schema["n_chars"].dataType))
     changed = {"text": F.col("_text"), "n_chars": n_chars}
     return rows.select(*(changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
 
@@ -56,10 +56,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     placed, mix = mixed_documents(docs)
     starts = mix.where("first = 0").groupBy("row").agg(F.count("*").alias("_times"))
     nth = F.row_number().over(Window.partitionBy("h", "doc_id").orderBy("row")).alias("_nth")
-    wanted = placed.select("row", "doc_id", "h", nth).join(starts, "row").select(F.col("doc_id").alias("_doc_id"), "h", "_nth", "_times")
-    hashed = docs.withColumn("h", row_hash())
-    numbered = hashed.withColumn("_nth", F.row_number().over(Window.partitionBy("h", "doc_id").orderBy(F.lit(0))))
-    rows = numbered.join(wanted.hint("merge"), ["h", "_nth"]).where(F.col("doc_id").eqNullSafe(F.col("_doc_id")))
+    wanted = placed.select("row", "doc_id", "h", nth).join(starts, "row").select(F.col("doc_id").alias("_doc_id"), F.col("h").alias("_h"), "_nth", "_times")
+    hashed = docs.withColumn("_h", row_hash())
+    numbered = hashed.withColumn("_nth", F.row_number().over(Window.partitionBy("_h", "doc_id").orderBy("_h")))
+    rows = numbered.join(wanted.hint("merge"), ["_h", "_nth"]).where(F.col("doc_id").eqNullSafe(F.col("_doc_id")))
     rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
     return rows.select(*(f"`{c}`" for c in docs.columns))
 

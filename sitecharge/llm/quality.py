@@ -232,8 +232,8 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def scored(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """``docs`` with a column ``score`` between 0 and 1: how likely a document is of label 1."""
+def scored(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name`` between 0 and 1: how likely a document is of label 1."""
     vectors = docs.sparkSession.sparkContext.broadcast(word_vectors(docs))
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("_quality"))
@@ -248,7 +248,7 @@ def scored(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Data
     plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
     out = in_tasks(plain, partial(_scored, vectors=vectors, network=network, at=names.index("text")), f"{schema}, score double")
-    return out.select(*(F.col(f"c{i}").alias(name) for i, name in enumerate(names)), "score")
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)), F.col("score").alias(name))
 
 
 def judged(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
