@@ -1,6 +1,6 @@
 """License scans by conditional compression.
 
-Around every cue word, a block as long as a template is cut from the text and compressed alone and
+Around every cue word, a block half as long again as a template, to either side, is cut from the text and compressed alone and
 with the template as zstandard raw dictionary. Templates are ranked by the bytes saved; of the best ones, that
 with the fewest differences in wording wins, if most of its words occur in the block in order. The
 words that are missing or added are reported. A text has as many findings as it has statements; a cue
@@ -85,7 +85,7 @@ class Scanner:
             words = [_plain(w) for w in text.split()]
             dictionary = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.templates.append((name, words, zstandard.ZstdCompressor(level=level, dict_data=dictionary)))
-        self.longest = max(len(words) for _, words, _ in self.templates)
+        self.longest = 3 * max(len(words) for _, words, _ in self.templates) // 2
         self.seen: dict[tuple, tuple | None] = {}
 
     def _saved(self, block: list[str], compressor: zstandard.ZstdCompressor) -> int:
@@ -122,8 +122,9 @@ class Scanner:
     def _best(self, words: list[str], at: int) -> tuple | None:
         ranked = []
         for i, (_, template, compressor) in enumerate(self.templates):
-            low = max(0, at - len(template))
-            block = words[low : at + len(template)]
+            reach = 3 * len(template) // 2
+            low = max(0, at - reach)
+            block = words[low : at + reach]
             ranked.append((-self._saved(block, compressor), i, low, block))
         confirmed = []
         for saved, i, low, block in sorted(ranked, key=lambda r: r[:2])[:SHORTLIST]:
