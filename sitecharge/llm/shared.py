@@ -73,9 +73,8 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank", sums: dict[st
     placed = placed.withColumn("_part", F.shiftright("_row", 33))
     totals = {"_n": F.count("*")} | {f"_n{i}": F.sum(c) for i, c in enumerate(sums)}
     sizes = placed.groupBy("_part").agg(*(total.alias(n) for n, total in totals.items()))
-    before = sizes.withColumnRenamed("_part", "_before")
-    starts = sizes.select("_part").join(F.broadcast(before), F.col("_before") < F.col("_part"), "left").groupBy("_part")
-    starts = starts.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in totals))
+    parts_before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", *(F.coalesce(F.sum(n).over(parts_before), F.lit(0)).alias(n) for n in totals))
     local = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
     earlier = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     for i, (column, out) in enumerate(sums.items()):
