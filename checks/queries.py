@@ -177,8 +177,11 @@ def _datetime_text(run: Run) -> DataFrame:
 
 
 def _report_keys(run: Run) -> DataFrame:
-    totals = jobs.job_totals(run.tables, run.periods)
-    keys = totals.join(dimensions.reportable_sites(run.tables), "site_id").select(*_SITE).distinct()
+    """Keys of all sites with jobs, active or not; the filter keeps those of active sites."""
+    totals = jobs.job_totals(run.tables, run.periods, dates=False)
+    accounts = run.tables.accounts.select("account_id", "company_id")
+    owners = run.tables.sites.select("site_id", "account_id").join(accounts, "account_id", "left")
+    keys = totals.join(owners, "site_id").select(*_SITE).distinct()
     return dimensions.report_keys(run.tables, keys)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecharge.operators.dimensions import item_units, site_lookup
@@ -83,6 +83,7 @@ def scenario_charges(
     )
     return (
         period_jobs(tables, periods, MIN_SCENARIOQUANTITY, end)
+        .where(F.col("job_id").isNotNull())
         .join(orders, "work_order_id")
         .join(site_lookup(tables, accounts), "site_id", "left")
         .select(
@@ -122,14 +123,19 @@ def job_picks(
 def resolved_charges(
     tables: Tables, periods: list[Period], end: str = MIDNIGHT, ties: str = KEEP
 ) -> DataFrame:
-    """(job, applying scenario charge) with the multiplicity of the pair."""
+    """(job, applying scenario charge) with the multiplicity of the pair.
+
+    Jobs without id cannot be matched with themselves: what they pick at the latest and at the earliest date
+    stands side by side, each distinct charge once.
+    """
     orders = tables.work_orders.select("work_order_id", "scenario_id").join(
         applying_charges(tables, ties).select("scenario_id", "scenario_charge_id", "charge_copies"),
         "scenario_id",
         "left",
     )
-    return (
+    named = (
         period_jobs(tables, periods, MIN_SCENARIOQUANTITY, end)
+        .where(F.col("job_id").isNotNull())
         .join(orders, "work_order_id", "left")
         .select(
             "job_id",
@@ -137,6 +143,12 @@ def resolved_charges(
             F.coalesce("charge_copies", F.lit(1).cast("bigint")).alias("copies"),
         )
     )
+    nameless = [
+        job_picks(tables, periods, which, end).where(F.col("job_id").isNull())
+        for which in ("latest", "earliest")
+    ]
+    pairs = nameless[0].unionByName(nameless[1]).groupBy("job_id", "scenario_charge_id")
+    return named.unionByName(pairs.agg(F.count("*").alias("copies")))
 
 
 def turned_on_dates(tables: Tables) -> DataFrame:
@@ -145,7 +157,9 @@ def turned_on_dates(tables: Tables) -> DataFrame:
     The jobs are folded per (site, work order) before any join, which is all that crosses the
     network of the full history.
     """
-    first_starts = tables.jobs.groupBy("site_id", "work_order_id").agg(
+    known = ("work_order_id", "site_id", "actual_start_at")
+    counted = tables.jobs.where(" AND ".join(f"{name} IS NOT NULL" for name in known))
+    first_starts = counted.groupBy("site_id", "work_order_id").agg(
         F.min("actual_start_at").alias("_start")
     )
     charged = tables.work_orders.where(F.col("final_charge_per_unit").isNotNull()).select(
@@ -172,21 +186,45 @@ def turned_on_dates(tables: Tables) -> DataFrame:
     )
 
 
-def job_totals(tables: Tables, periods: list[Period], end: str = MIDNIGHT) -> DataFrame:
+def job_totals(
+    tables: Tables, periods: list[Period], end: str = MIDNIGHT, dates: bool = True
+) -> DataFrame:
     """Period jobs folded per (period, site, work order).
 
     All jobs of a work order at a site share every charge, and job value is linear in the
     quantity, so the fold loses nothing the report needs. Partial aggregation happens before the
-    shuffle: a work order that owns a large part of all jobs arrives as one row per task.
+    shuffle: a work order that owns a large part of all jobs arrives as one row per task. Jobs
+    without id have no scenario charge and form a row of their own (``has_id``);
+    ``first_of_order`` is true on one row per work order. ``dates`` adds the first and last creation.
     """
-    return (
+    named = F.col("job_id").isNotNull()
+
+    def total(these: Column, has_id: bool) -> Column:
+        created = F.when(these, F.col("created_at"))
+        created_columns = [
+            F.min(created).alias("first_created_at"),
+            F.max(created).alias("last_created_at"),
+        ]
+        return F.struct(
+            F.sum(F.when(these, F.col(QUANTITY))).alias("reference_quantity"),
+            F.count_if(these).alias("job_rows"),
+            F.lit(has_id).alias("has_id"),
+            *(created_columns if dates else []),
+        )
+
+    folded = (
         period_jobs(tables, periods, end=end)
         .groupBy(*PERIOD, "site_id", "work_order_id")
-        .agg(
-            F.sum(QUANTITY).alias("reference_quantity"),
-            F.count("*").alias("job_rows"),
-            F.count("job_id").alias("job_count"),
-            F.min("created_at").alias("first_created_at"),
-            F.max("created_at").alias("last_created_at"),
-        )
+        .agg(F.array(total(named, True), total(~named, False)).alias("_totals"))
+    )
+    there = F.filter("_totals", lambda t: t["job_rows"] > 0)
+    return folded.select(
+        *PERIOD, "site_id", "work_order_id", F.posexplode(there).alias("_at", "_t")
+    ).select(
+        *PERIOD,
+        "site_id",
+        "work_order_id",
+        "_t.*",
+        F.when(F.col("_t.has_id"), F.col("_t.job_rows")).otherwise(0).alias("job_count"),
+        (F.col("_at") == 0).alias("first_of_order"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecharge.functions.numeric import float_divide
+from sitecharge.operators.rollup import SITE_KEYS
 
 _RATES = [
     "materials_charge_fill_rate",
@@ -25,17 +26,19 @@ _PERCENTS = {
     "percent_no_charges": "no_charge_fill",
     "percent_outliers": "num_outliers",
 }
-# Inputs that are of no use once the ratios are made.
-_SPENT = [
-    "total_charge",
-    "total_charge_impute",
-    "first_job_created_date",
-    "last_job_created_date",
-    "overridden_fill",
-    "sum_scenario_fill",
-    "sum_scenario_wo_custom_fill",
-    "no_charge_fill",
-    "num_outliers",
+# Totals that stay beside the ratios, those of them that the rollup has.
+_KEPT = [
+    "charge_fill_rate",
+    "charge_fill_rate_wo_outliers",
+    "fcpu_fill",
+    "total_custom_charge",
+    "total_fcpu",
+    "total_labor_charge",
+    "total_material_charge",
+    "total_num_jobs",
+    "total_number_of_projects",
+    "total_overhead_charge",
+    "total_overridden_charge",
 ]
 
 
@@ -62,7 +65,8 @@ def site_ratios(rollup: DataFrame) -> DataFrame:
         F.col("total_charge_impute"), share("charge_fill_rate_wo_outliers")
     )
     new.update({name: share(name) for name in _RATES if name in rollup.columns})
-    return rollup.withColumns(new).drop(*_SPENT)
+    kept = [name for name in _KEPT if name in rollup.columns]
+    return rollup.select(*SITE_KEYS, *kept, *(made.alias(name) for name, made in new.items()))
 
 
 def add_materials_share(ratios: DataFrame) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecharge.operators.periods import PERIOD
-from sitecharge.operators.quantiles import BUFFERED_GROUP_ROWS, exact_quantiles, largest_group
+from sitecharge.operators.quantiles import exact_quantiles
 from sitecharge.operators.skew import SALTS, attach_by_key
 
 SITE_PERIOD = [*PERIOD, "site_id"]
@@ -23,27 +24,24 @@ class OutlierRule:
     mad_scale: float = 1.4826
     lower_bound: float = 0.001
     upper_pad: float = 1
-    buffered_group_rows: int = BUFFERED_GROUP_ROWS
     salts: int = SALTS
 
 
-def charge_bounds(hist: DataFrame, rule: OutlierRule = OutlierRule()) -> DataFrame:
+def charge_bounds(
+    hist: DataFrame, store: Callable[[DataFrame], DataFrame], rule: OutlierRule = OutlierRule()
+) -> DataFrame:
     """Median, quantile, MAD and upper bound per (period, site).
 
-    ``hist`` is read several times: pass a stored table, not a long plan.
+    ``hist`` is read several times: pass a stored table, not a long plan. ``store`` writes a frame and
+    returns a reader of it, for the medians, which are read twice.
     """
     value = "imputed_charge_per_unit"
-    largest = largest_group(hist, SITE_PERIOD)
-    limit = rule.buffered_group_rows
-    centre = exact_quantiles(
-        hist, SITE_PERIOD, value, "n", {"median": 0.5, "high": rule.quantile}, largest, limit
-    )
+    probs = {"median": 0.5, "high": rule.quantile}
+    centre = store(exact_quantiles(hist, SITE_PERIOD, value, "n", probs))
     deviations = attach_by_key(
         hist, centre.select(*SITE_PERIOD, "median"), SITE_PERIOD, value, rule.salts
     ).select(*SITE_PERIOD, F.abs(F.col(value) - F.col("median")).alias("deviation"), "n")
-    spread = exact_quantiles(
-        deviations, SITE_PERIOD, "deviation", "n", {"raw_mad": 0.5}, largest, limit
-    )
+    spread = exact_quantiles(deviations, SITE_PERIOD, "deviation", "n", {"raw_mad": 0.5})
     mad = F.col("raw_mad") * rule.mad_scale
     return (
         centre.join(spread, SITE_PERIOD)

@@ -56,13 +56,19 @@ def merged_jobs(
 
     Equals joining the job facts, the scenario charges, the active sites and the case ratios one
     after the other, but scans the jobs once and moves them for one join only: prices are put
-    together per work order first. ``copies`` is the multiplicity of a row.
+    together per work order first, and once more without scenario charges, for the jobs without
+    id. ``copies`` is the multiplicity of a row.
     """
-    priced = left_join(unit_work_orders(tables), priced_scenarios(tables, ties), "scenario_id")
+    orders = unit_work_orders(tables)
+    priced = left_join(orders, priced_scenarios(tables, ties), "scenario_id")
+    prices = priced.withColumn("has_id", F.lit(True)).unionByName(
+        orders.withColumn("has_id", F.lit(False)), allowMissingColumns=True
+    )
     return (
         period_jobs(tables, periods, end=end)
+        .withColumn("has_id", F.col("job_id").isNotNull())
         .join(site_lookup(tables, owned_sites(tables)), "site_id")
-        .join(priced, "work_order_id", "left")
+        .join(prices, ["work_order_id", "has_id"], "left")
         .select(
             *PERIOD,
             "company_id",
@@ -85,7 +91,11 @@ def merged_jobs(
 
 
 def pricing_totals(
-    tables: Tables, sites: DataFrame, periods: list[Period], end: str = MIDNIGHT
+    tables: Tables,
+    sites: DataFrame,
+    periods: list[Period],
+    end: str = MIDNIGHT,
+    dates: bool = True,
 ) -> DataFrame:
     """Job totals folded once more, per (period, site) and everything that decides a price.
 
@@ -94,11 +104,22 @@ def pricing_totals(
     """
     produced = F.try_divide("reference_quantity", "default_ratio")
     copies = _or_one("context_copies")
+    created = [
+        F.min("first_created_at").alias("first_created_at"),
+        F.max("last_created_at").alias("last_created_at"),
+    ]
+    created = created if dates else []
     return (
-        job_totals(tables, periods, end)
+        job_totals(tables, periods, end, dates)
         .join(site_lookup(tables, sites), "site_id")
         .join(unit_work_orders(tables), "work_order_id", "left")
-        .withColumn("case_ratio", _account_case_ratio())
+        .withColumns(
+            {
+                "case_ratio": _account_case_ratio(),
+                "scenario_id": F.when(F.col("has_id"), F.col("scenario_id")),
+                "project_rows": F.when(F.col("first_of_order"), F.col("project_rows")),
+            }
+        )
         .groupBy(
             *PERIOD,
             "company_id",
@@ -114,8 +135,7 @@ def pricing_totals(
             F.sum(F.col("job_rows") * copies).alias("job_rows"),
             F.sum(F.col("job_count") * copies).alias("job_count"),
             F.sum(F.coalesce("project_rows", F.lit(0))).alias("project_rows"),
-            F.min("first_created_at").alias("first_created_at"),
-            F.max("last_created_at").alias("last_created_at"),
+            *created,
         )
     )
 

@@ -3,15 +3,11 @@
 Input is a histogram: (keys, value, weight), weight being a positive integer count. Quantiles
 interpolate linearly between the two neighbouring order statistics.
 
-Two ways give the same numbers:
-
-* ``percentile_quantiles``: Spark's exact ``percentile`` with frequencies. It keeps the distinct
-  values of a group in one buffer, so it is meant for groups of a known, bounded size.
-* ``digit_quantiles``: order statistics found digit by digit. Weights are summed per power of two
-  and leading digits of the value; a running sum over these few buckets tells which bucket holds
-  a wanted rank; only that bucket is looked at more closely. A double has 52 bits after the
-  leading one, taken as 10 + 21 + 21, so no step ever orders more than about two million rows of
-  one group, and the rest is map-side combined sums.
+Order statistics are found digit by digit. Weights are summed per power of two and leading digits of
+the value; a running sum over these few buckets tells which bucket holds a wanted rank; only that
+bucket is looked at more closely. A double has 52 bits after the leading one, taken as 10 + 21 + 21,
+so no step ever orders more than about two million rows of one group, and the rest is map-side
+combined sums.
 """
 
 from __future__ import annotations
@@ -20,41 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-# Largest number of histogram rows of one group that may be held in one buffer.
-BUFFERED_GROUP_ROWS = 250_000
-
 _COARSE_BITS = 10
 _FINE_BITS = 31
 
 
-def largest_group(hist: DataFrame, keys: list[str]) -> int:
-    """Number of rows of the largest group: one scalar, computed on the executors."""
-    sizes = hist.groupBy(*keys).agg(F.count("*").alias("n"))
-    return sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-
-
-def exact_quantiles(
-    hist: DataFrame,
-    keys: list[str],
-    value: str,
-    weight: str,
-    probs: dict[str, float],
-    largest: int,
-    buffered: int = BUFFERED_GROUP_ROWS,
-) -> DataFrame:
-    """One row per group with one column per entry of ``probs`` (name -> probability)."""
-    way = percentile_quantiles if largest <= buffered else digit_quantiles
-    return way(hist, keys, value, weight, probs)
-
-
-def percentile_quantiles(
-    hist: DataFrame, keys: list[str], value: str, weight: str, probs: dict[str, float]
-) -> DataFrame:
-    wanted = F.percentile(F.col(value), F.array(*map(F.lit, probs.values())), F.col(weight))
-    found = hist.groupBy(*keys).agg(wanted.alias("_q"))
-    return found.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
-
-
 def _exponent(v: Column) -> Column:
     """Power of two at or next to |v|. Only its being monotone matters."""
     size = F.greatest(F.least(F.abs(v), F.lit(2.0**1000)), F.lit(2.0**-900))
@@ -72,9 +37,10 @@ def _digits(v: Column, bits: int) -> Column:
     return F.floor(v * F.pow(F.lit(2.0), (F.lit(bits) - _exponent(v)).cast("double")))
 
 
-def digit_quantiles(
+def exact_quantiles(
     hist: DataFrame, keys: list[str], value: str, weight: str, probs: dict[str, float]
 ) -> DataFrame:
+    """One row per group with one column per entry of ``probs`` (name -> probability)."""
     v = F.col(value)
     rows = hist.select(
         *keys,

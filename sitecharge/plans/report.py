@@ -31,7 +31,7 @@ from sitecharge.sources.schemas import (
     PERCENT_COLUMNS,
     REPORT_COLUMNS,
 )
-from sitecharge.sources.sinks import write_report
+from sitecharge.sources.sinks import render_dates, write_report
 from sitecharge.sources.tables import Tables
 
 
@@ -52,10 +52,8 @@ def needed_totals(
 ) -> DataFrame:
     """Pricing totals, without the creation dates where no measure reads them."""
     chosen = reportable_sites(tables) if sites is None else sites
-    totals = pricing_totals(tables, chosen, periods, options.end)
-    if measures is None or "first_job_created_date" in measures:
-        return totals
-    return totals.drop("first_created_at", "last_created_at")
+    dates = measures is None or "first_job_created_date" in measures
+    return pricing_totals(tables, chosen, periods, options.end, dates)
 
 
 def stored_groups(
@@ -76,9 +74,11 @@ def stored_groups(
     return staging.store(charge_groups(priced, measures), "charge_groups")
 
 
-def bounds_of(groups: DataFrame, options: ReportOptions = ReportOptions()) -> DataFrame:
+def bounds_of(
+    groups: DataFrame, staging: Staging, options: ReportOptions = ReportOptions()
+) -> DataFrame:
     hist = groups.select(*SITE_PERIOD, "imputed_charge_per_unit", "n")
-    return charge_bounds(hist, options.outliers)
+    return charge_bounds(hist, lambda df: staging.store(df, "centre"), options.outliers)
 
 
 def site_bounds(
@@ -90,7 +90,7 @@ def site_bounds(
     """Bounds of all active sites, those without known owner included; a stored table."""
     sites = owned_sites(tables).select("company_id", "account_id", "site_id")
     groups = stored_groups(tables, periods, staging, options, ["n"], sites)
-    return staging.store(bounds_of(groups, options), "bounds")
+    return staging.store(bounds_of(groups, staging, options), "bounds")
 
 
 def flagged_jobs(
@@ -117,7 +117,7 @@ def build_rollup(
     measures: list[str] | None = None,
 ) -> DataFrame:
     groups = stored_groups(tables, periods, staging, options, measures)
-    return site_rollup(groups, bounds_of(groups, options), options.outliers)
+    return site_rollup(groups, bounds_of(groups, staging, options), options.outliers)
 
 
 def build_values(
@@ -173,11 +173,17 @@ def run_report(
     mode: str = "append",
     options: ReportOptions = ReportOptions(),
     loaded_at: datetime | None = None,
+    text_dates: bool = False,
 ) -> None:
-    """Compute the closed months of the year of ``as_of`` and write them to ``target``."""
+    """Compute the closed months of the year of ``as_of`` and write them to ``target``.
+
+    ``text_dates`` writes dates and times as text, for a target made with the same option.
+    """
     staging = Staging(tables.jobs.sparkSession)
     try:
-        report = build_report(tables, year_to_date(as_of), staging, options)
-        write_report(stamp(report, loaded_at), target, mode)
+        periods = year_to_date(as_of)
+        report = staging.store(build_report(tables, periods, staging, options), "report")
+        report = stamp(report, loaded_at)
+        write_report(render_dates(report) if text_dates else report, target, mode, periods)
     finally:
         staging.clear()

@@ -78,23 +78,7 @@ UNIQUE_KEYS: dict[str, str] = {
     "scenario_charges": "scenario_charge_id",
 }
 
-# Report columns in write order.
-PERCENT_COLUMNS = [
-    "PERCENT_FCPU",
-    "PERCENT_OVERRIDDEN",
-    "PERCENT_SUM_SCENARIO",
-    "PERCENT_SUM_SCENARIO_WO_CUSTOM",
-    "PERCENT_NO_CHARGES",
-    "PERCENT_FILL_RATE",
-    "PERCENT_OV_MATERIALS",
-    "PERCENT_OUTLIERS",
-]
-MONEY_COLUMNS = [
-    "TOTAL_FCPU",
-    "OV_W_OUTLIERS",
-    "OV_WO_OUTLIERS",
-    "ADJUSTED_OV_WO_OUTLIERS",
-]
+# The report columns in write order.
 REPORT_COLUMNS = [
     "START_DATE",
     "END_DATE",
@@ -117,6 +101,9 @@ REPORT_COLUMNS = [
     "OV_WO_OUTLIERS",
     "ADJUSTED_OV_WO_OUTLIERS",
 ]
+PERCENT_COLUMNS = [name for name in REPORT_COLUMNS if name.startswith("PERCENT_")]
+MONEY_COLUMNS = [n for n in REPORT_COLUMNS if n == "TOTAL_FCPU" or n.endswith("_OUTLIERS")]
+MONEY_COLUMNS = [name for name in MONEY_COLUMNS if name not in PERCENT_COLUMNS]
 LOAD_STAMP = "UPDATED_AT"
 ID_COLUMNS = ["COMPANY_ID", "ACCOUNT_ID", "SITE_ID"]
 

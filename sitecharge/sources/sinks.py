@@ -1,18 +1,21 @@
-"""The report table: a folder of Parquet files or a catalog table, partitioned by START_DATE.
+"""The report table: a folder of Parquet files or a catalog table, partitioned by period.
 
 The target has to exist. ``append`` adds rows, so a second run of a period shows it twice, told
-apart by UPDATED_AT; ``replace_period`` overwrites exactly the periods being written.
+apart by UPDATED_AT; ``replace_period`` overwrites exactly the periods of the run, a period being its first and last
+day: one that has no rows any more is emptied, and others that overlap it stay as they are.
 """
 
 from __future__ import annotations
 
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitecharge.functions.dates import datetime_text
+from sitecharge.operators.periods import Period
 from sitecharge.sources.schemas import (
     ID_COLUMNS,
     LOAD_STAMP,
@@ -21,26 +24,31 @@ from sitecharge.sources.schemas import (
     REPORT_COLUMNS,
 )
 
-PARTITION = "START_DATE"
+PARTITION = ["START_DATE", "END_DATE"]
+_SCHEMA = "_schema"  # of a folder target, as an empty table; readers pass such names over
 MODES = ("append", "replace_period")
 
 
-def report_schema(id_type: str = "bigint") -> T.StructType:
+def report_schema(id_type: str = "bigint", text_dates: bool = False) -> T.StructType:
     kinds = {name: id_type for name in ID_COLUMNS}
     kinds.update({name: "double" for name in PERCENT_COLUMNS + MONEY_COLUMNS})
     kinds.update({"START_DATE": "date", "END_DATE": "date"})
     kinds.update({"DATE_OV_TURNED_ON": "timestamp_ntz", LOAD_STAMP: "timestamp_ntz"})
+    if text_dates:
+        kinds.update({name: "string" for name in _DATES})
     kinds.update({"TOTAL_NUMBER_OF_PROJECTS": "bigint", "TOTAL_NUM_JOBS": "bigint"})
     return T.StructType.fromDDL(
         ", ".join(f"{name} {kinds[name]}" for name in [*REPORT_COLUMNS, LOAD_STAMP])
     )
 
 
+_DATES = ["START_DATE", "END_DATE", "DATE_OV_TURNED_ON", LOAD_STAMP]
+
+
 def render_dates(report: DataFrame) -> DataFrame:
     """Dates and timestamps as 'YYYY-MM-DD HH:MM:SS' text."""
-    wanted = ["START_DATE", "END_DATE", "DATE_OV_TURNED_ON", LOAD_STAMP]
     return report.withColumns(
-        {name: datetime_text(F.col(name)) for name in wanted if name in report.columns}
+        {name: datetime_text(F.col(name)) for name in _DATES if name in report.columns}
     )
 
 
@@ -53,32 +61,34 @@ def _folder(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def create_report(spark: SparkSession, target: str, id_type: str = "bigint") -> None:
-    """Make an empty report table."""
+def create_report(
+    spark: SparkSession, target: str, id_type: str = "bigint", text_dates: bool = False
+) -> None:
+    """Make an empty report table with ids of a type, and dates as dates or as text."""
+    empty = spark.createDataFrame([], report_schema(id_type, text_dates))
     if _is_path(target):
-        files, where = _folder(spark, target)
-        files.mkdirs(where)
+        empty.write.mode("overwrite").parquet(f"{target}/{_SCHEMA}")
         return
-    empty = spark.createDataFrame([], report_schema(id_type))
-    empty.write.partitionBy(PARTITION).format("parquet").saveAsTable(target)
+    empty.write.partitionBy(*PARTITION).format("parquet").saveAsTable(target)
 
 
 def _has_rows(spark: SparkSession, path: str) -> bool:
     files, where = _folder(spark, path)
-    return any(status.isDirectory() for status in files.listStatus(where))
+    return any(s.getPath().getName().startswith(f"{PARTITION[0]}=") for s in files.listStatus(where))
 
 
 def read_report(spark: SparkSession, target: str) -> DataFrame:
     names = report_schema().names
     if not _is_path(target):
         return spark.table(target).select(*names)
+    schema = _target_schema(spark, target)
     if not _has_rows(spark, target):
-        return spark.createDataFrame([], report_schema())
-    return spark.read.parquet(target).select(*names)
+        return spark.createDataFrame([], schema).select(*names)
+    return spark.read.schema(schema).parquet(target).select(*names)
 
 
-def _target_schema(spark: SparkSession, target: str) -> T.StructType | None:
-    """Columns of an existing target; None for a folder that has no rows yet."""
+def _target_schema(spark: SparkSession, target: str) -> T.StructType:
+    """Columns of an existing target."""
     if not _is_path(target):
         if not spark.catalog.tableExists(target):
             raise ValueError(f"report table {target} does not exist")
@@ -86,14 +96,14 @@ def _target_schema(spark: SparkSession, target: str) -> T.StructType | None:
     files, where = _folder(spark, target)
     if not files.exists(where):
         raise ValueError(f"report folder {target} does not exist")
-    return spark.read.parquet(target).schema if _has_rows(spark, target) else None
+    if files.exists(_folder(spark, f"{target}/{_SCHEMA}")[1]):
+        return spark.read.parquet(f"{target}/{_SCHEMA}").schema
+    return report_schema()
 
 
 def _fitted(report: DataFrame, target: str) -> DataFrame:
     """The report with the id types and column order of the target, which has to match otherwise."""
     schema = _target_schema(report.sparkSession, target)
-    if schema is None:
-        return report
     ids = {f.name: f.dataType for f in schema.fields if f.name in ID_COLUMNS}
     cast = report.withColumns({name: F.col(name).cast(kind) for name, kind in ids.items()})
     wanted = {f.name: f.dataType for f in cast.schema.fields}
@@ -101,7 +111,8 @@ def _fitted(report: DataFrame, target: str) -> DataFrame:
     if wanted != found:
         odd = sorted(n for n in {*wanted, *found} if wanted.get(n) != found.get(n))
         raise ValueError(f"columns of {target} differ from the report: {', '.join(odd)}")
-    return cast.select(*schema.names)
+    # a table inserts by place, its partition columns being the last
+    return cast.select(*[n for n in schema.names if n not in PARTITION], *PARTITION)
 
 
 @contextmanager
@@ -119,14 +130,46 @@ def _only_written_partitions(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def write_report(report: DataFrame, target: str, mode: str = "append") -> None:
+def _emptied(rows: DataFrame, periods: list[Period]) -> list[tuple[str, str]]:
+    """Periods of the run, as partition values, that have no rows; as many as periods at most are collected."""
+    text = isinstance(rows.schema[PARTITION[0]].dataType, T.StringType)
+    shown = " 00:00:00" if text else ""
+    found = rows.select(*(F.col(c).cast("string") for c in PARTITION)).distinct()
+    written = {tuple(row) for row in found.collect()}
+    every = [(f"{p.start.isoformat()}{shown}", f"{p.end.isoformat()}{shown}") for p in periods]
+    return [period for period in every if period not in written]
+
+
+def _drop_partition(spark: SparkSession, target: str, start: str, end: str) -> None:
+    if not _is_path(target):
+        named = f"{PARTITION[0]} = '{start}', {PARTITION[1]} = '{end}'"
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({named})")
+        return
+    files, where = _folder(spark, target)
+    for name, value in zip(PARTITION, (start, end)):
+        below = [s.getPath() for s in files.listStatus(where)]
+        found = [path for path in below if unquote(path.getName()) == f"{name}={value}"]
+        if not found:
+            return
+        where = found[0]
+    files.delete(where, True)
+
+
+def write_report(
+    report: DataFrame, target: str, mode: str = "append", periods: list[Period] = ()
+) -> None:
+    """Write stamped report rows; ``periods`` are those of the run, of which ``replace_period``
+    empties the ones without rows. It reads the rows twice for that: pass a stored table."""
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
+    spark = report.sparkSession
     rows = _fitted(report, target)
     replace = mode == "replace_period"
     if _is_path(target):
-        writer = rows.write.partitionBy(PARTITION).option("partitionOverwriteMode", "dynamic")
+        writer = rows.write.partitionBy(*PARTITION).option("partitionOverwriteMode", "dynamic")
         writer.mode("overwrite" if replace else "append").parquet(target)
-        return
-    with _only_written_partitions(report.sparkSession):
-        rows.write.insertInto(target, overwrite=replace)
+    else:
+        with _only_written_partitions(spark):
+            rows.write.insertInto(target, overwrite=replace)
+    for start, end in _emptied(rows, periods) if replace and periods else []:
+        _drop_partition(spark, target, start, end)

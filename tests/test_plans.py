@@ -159,4 +159,5 @@ def test_left_join(spark):
 
 def test_shared_folder_is_the_sessions(spark):
     assert Staging(spark).folder.startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert Staging(spark, "/some/where").folder.startswith("/some/where/run-")
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -1,16 +1,10 @@
-"""Both ways to exact quantiles against sorting, over awkward values."""
+"""Exact quantiles against sorting, over awkward values."""
 
 import random
 
-import pytest
 from world import _quantile
 
-from sitecharge.operators.quantiles import (
-    digit_quantiles,
-    exact_quantiles,
-    largest_group,
-    percentile_quantiles,
-)
+from sitecharge.operators.quantiles import exact_quantiles
 
 PROBS = {"median": 0.5, "high": 0.95, "low": 0.0, "top": 1.0}
 
@@ -36,11 +30,10 @@ def groups():
     }
 
 
-@pytest.mark.parametrize("way", [percentile_quantiles, digit_quantiles])
-def test_equals_sorting(spark, way):
+def test_equals_sorting(spark):
     rows = [(name, v, n) for name, pairs in groups().items() for v, n in pairs]
     hist = spark.createDataFrame(rows, "g string, v double, n bigint").repartition(5)
-    found = {r.g: r for r in way(hist, ["g"], "v", "n", PROBS).collect()}
+    found = {r.g: r for r in exact_quantiles(hist, ["g"], "v", "n", PROBS).collect()}
     assert set(found) == set(groups())
     for name, pairs in groups().items():
         if name == "hot":
@@ -49,15 +42,3 @@ def test_equals_sorting(spark, way):
             spread = [v for v, n in pairs for _ in range(n)]
             values = {p: _quantile(spread, q) for p, q in PROBS.items()}
         assert {p: found[name][p] for p in PROBS} == values, name
-
-
-def test_way_follows_measured_size(spark):
-    hist = spark.createDataFrame(
-        [("a", float(i), 1) for i in range(50)] + [("b", 1.0, 1)], "g string, v double, n bigint"
-    )
-    assert largest_group(hist, ["g"]) == 50
-    small = exact_quantiles(hist, ["g"], "v", "n", {"m": 0.5}, largest=50, buffered=50)
-    large = exact_quantiles(hist, ["g"], "v", "n", {"m": 0.5}, largest=50, buffered=49)
-    assert "percentile" in small._jdf.queryExecution().toString()
-    assert "percentile" not in large._jdf.queryExecution().toString()
-    assert sorted(small.collect()) == sorted(large.collect())

@@ -8,7 +8,7 @@ from world import base_world, job, random_world, spark_tables
 
 from sitecharge.plans.report import build_report, run_report, stamp
 from sitecharge.plans.staging import Staging
-from sitecharge.operators.periods import year_to_date
+from sitecharge.operators.periods import Period, year_to_date
 from sitecharge.sources.schemas import LOAD_STAMP, REPORT_COLUMNS
 from sitecharge.sources.sinks import create_report, read_report, render_dates, write_report
 
@@ -86,9 +86,74 @@ def test_rendered_dates(spark):
     assert row.UPDATED_AT == "2000-03-15 06:00:00"
 
 
+def test_replace_empties_periods_without_rows(spark, target):
+    world = base_world()
+    world["jobs"] = [job(1), job(2, start=datetime(2000, 2, 10))]
+    run_report(spark_tables(spark, world), MARCH, target, loaded_at=FIRST)
+    assert loads(spark, target) == {(1, FIRST), (2, FIRST)}
+    world["jobs"] = [job(1)]
+    run_report(spark_tables(spark, world), MARCH, target, "replace_period", loaded_at=SECOND)
+    assert loads(spark, target) == {(1, SECOND)}
+    world["jobs"] = []
+    run_report(spark_tables(spark, world), MARCH, target, "replace_period", loaded_at=SECOND)
+    assert loads(spark, target) == set()
+
+
+def test_replace_leaves_overlapping_periods(spark, target):
+    world = base_world()
+    world["jobs"] = [job(1), job(2, start=datetime(2000, 2, 10))]
+    tables, staging = spark_tables(spark, world), Staging(spark)
+    run_report(tables, MARCH, target, loaded_at=FIRST)
+    quarter = [Period(date(2000, 1, 1), date(2000, 3, 31))]
+    for loaded_at in (FIRST, SECOND):
+        rows = stamp(build_report(tables, quarter, staging), loaded_at)
+        write_report(rows, target, "replace_period", quarter)
+    found = {(r.END_DATE.month, r[LOAD_STAMP]) for r in read_report(spark, target).collect()}
+    assert found == {(1, FIRST), (2, FIRST), (3, SECOND)}
+
+
+@pytest.mark.parametrize("kind", ["folder", "table"])
+def test_text_dates(spark, tmp_path, kind):
+    name = str(tmp_path / "texts") if kind == "folder" else "text_dates_report"
+    spark.sql("DROP TABLE IF EXISTS text_dates_report")
+    create_report(spark, name, id_type="string", text_dates=True)
+    assert dict(read_report(spark, name).dtypes)["COMPANY_ID"] == "string"
+    world = base_world()
+    world["jobs"] = [job(1), job(2, start=datetime(2000, 2, 10))]
+    tables = spark_tables(spark, world)
+    for loaded_at in (FIRST, SECOND):
+        run_report(tables, MARCH, name, loaded_at=loaded_at, text_dates=True)
+    rows = read_report(spark, name).collect()
+    assert {(r.START_DATE, r.END_DATE, r.UPDATED_AT) for r in rows} == {
+        (f"2000-0{m}-01 00:00:00", end, f"2000-03-{d} 06:00:00")
+        for m, end in ((1, "2000-01-31 00:00:00"), (2, "2000-02-29 00:00:00"))
+        for d in (15, 16)
+    }
+    world["jobs"] = [job(1)]
+    run_report(
+        spark_tables(spark, world), MARCH, name, "replace_period", loaded_at=SECOND, text_dates=True
+    )
+    assert [r.START_DATE for r in read_report(spark, name).collect()] == ["2000-01-01 00:00:00"]
+
+
+def test_left_over_folders_are_not_rows(spark, tmp_path):
+    target = str(tmp_path / "report")
+    create_report(spark, target, id_type="string")
+    (tmp_path / "report" / "_temporary").mkdir()
+    assert read_report(spark, target).count() == 0
+    world = base_world()
+    world["jobs"] = [job(1)]
+    run_report(spark_tables(spark, world), MARCH, target, loaded_at=FIRST)
+    (row,) = read_report(spark, target).collect()
+    assert row.SITE_ID == "100"
+
+
 def test_staging_is_cleared(spark, tmp_path):
     staging = Staging(spark)
-    staging.store(spark.range(3), "numbers")
+    one, two = (staging.store(spark.range(n), "numbers") for n in (3, 4))
+    assert (one.count(), two.count()) == (3, 4)
+    (path,) = {row.path.rsplit("/", 2)[0] for row in one.select(F.input_file_name().alias("path")).collect()}
+    assert staging.folder in path
     staging.clear()
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        spark.read.parquet(f"{staging.folder}/numbers")
+        spark.read.parquet(staging.folder)

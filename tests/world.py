@@ -161,7 +161,7 @@ def job_rows(world, period, ties="keep"):
         company = companies[account[1]][0][0] if account and companies[account[1]] else None
         order = orders[order_id][0] if orders[order_id] else (None, None, None, None)
         picks = [None]
-        if scenarios[order[2]]:
+        if scenarios[order[2]] and job_id is not None:
             dated = [c for c in charges[order[2]] if c[2] is not None]
             if dated:
                 latest = [c for c in dated if c[2] == max(c[2] for c in dated)]
