@@ -13,10 +13,11 @@ from sitecharge.functions.numeric import money_text, parse_money, parse_percent,
 from sitecharge.operators import dimensions, impute, jobs, metrics, pricing, scenario
 from sitecharge.operators.periods import FULL_DAY, Period, year_to_date
 from sitecharge.plans import report
+from sitecharge.plans.frames import pull_frames
 from sitecharge.plans.session import configure
 from sitecharge.plans.staging import Staging
 from sitecharge.sources.fixtures import sample_tables
-from sitecharge.sources.sinks import create_report, read_report, write_report
+from sitecharge.sources.sinks import create_report, read_report, render_dates, write_report
 from sitecharge.sources.tables import Tables
 
 AS_OF = date(2000, 7, 15)
@@ -119,29 +120,34 @@ def _custom_charges(run: Run) -> DataFrame:
     return charges.withColumns({c: F.round(c, 6) for c in averages})
 
 
+def _weighted(rows: DataFrame) -> DataFrame:
+    """Equal rows as one, with the sum of their ``copies``: jobs without id are not told apart."""
+    return rows.groupBy(*[c for c in rows.columns if c != "copies"]).agg(F.sum("copies").alias("copies"))
+
+
 def _modified_quantity(run: Run) -> DataFrame:
     rows = impute.add_modified_quantity(run.merged())
-    return rows.select(*_ROW, "produced_quantity", "modified_quantity", "copies")
+    return _weighted(rows.select(*_ROW, "produced_quantity", "modified_quantity", "copies"))
 
 
 def _imputed_charge(run: Run) -> DataFrame:
-    return impute.impute(run.merged()).select(*_ROW, "imputed_charge_per_unit", "copies")
+    return _weighted(impute.impute(run.merged()).select(*_ROW, "imputed_charge_per_unit", "copies"))
 
 
 def _fill_flags(run: Run) -> DataFrame:
     rows = impute.add_fill_flags(impute.impute(run.merged()))
     flags = [c for c in rows.columns if c.endswith("_fill")]
-    return rows.select(*_ROW, "fill_type", *flags, "copies")
+    return _weighted(rows.select(*_ROW, "fill_type", *flags, "copies"))
 
 
 def _outlier_flags(run: Run) -> DataFrame:
     charge = "imputed_charge_per_unit"
-    return run.flagged().select(*_ROW, charge, f"{charge}_wo_outliers", "outlier_charge", "copies")
+    return _weighted(run.flagged().select(*_ROW, charge, f"{charge}_wo_outliers", "outlier_charge", "copies"))
 
 
 def _job_charges(run: Run) -> DataFrame:
     rows = impute.add_job_charges(run.flagged())
-    return rows.select(*_ROW, *impute.CHARGE_PARTS, "copies")
+    return _weighted(rows.select(*_ROW, *impute.CHARGE_PARTS, "copies"))
 
 
 def _site_upper_bound(run: Run) -> DataFrame:
@@ -202,6 +208,48 @@ def _report_append(run: Run) -> DataFrame:
     return read_report(run.spark, target)
 
 
+def _report_replace(run: Run) -> DataFrame:
+    """All months; then a run without jobs in February; then one over a quarter that overlaps them."""
+    rows = run.staging.store(run.site_report(), "report")
+    target = f"{run.staging.folder}/replaced"
+    create_report(run.spark, target)
+    start = F.col("START_DATE")
+    january, end = date(2000, 1, 1), date(2000, 3, 31)
+    quarter = rows.where(start == january).withColumn("END_DATE", F.lit(end))
+    loads = [
+        (rows, datetime(2000, 7, 15, 6), "append", []),
+        (rows.where(start != date(2000, 2, 1)), datetime(2000, 7, 16, 6), "replace_period", run.periods),
+        (quarter, datetime(2000, 7, 17, 6), "replace_period", [Period(january, end)]),
+        (quarter, datetime(2000, 7, 18, 6), "replace_period", [Period(january, end)]),
+    ]
+    for part, loaded_at, mode, periods in loads:
+        write_report(report.stamp(part, loaded_at), target, mode, periods)
+    return read_report(run.spark, target)
+
+
+def _report_text_dates(run: Run) -> DataFrame:
+    """Two loads with dates as text, the second one of two months."""
+    rows = run.staging.store(run.site_report(), "report")
+    target = f"{run.staging.folder}/texts"
+    create_report(run.spark, target, id_type="string", text_dates=True)
+    late = rows.where(F.col("START_DATE") >= date(2000, 5, 1))
+    for part, day in ((rows, 15), (late, 16)):
+        stamped = report.stamp(part, datetime(2000, 7, day, 6))
+        write_report(render_dates(stamped), target)
+    return read_report(run.spark, target)
+
+
+def _empty_months(run: Run) -> DataFrame:
+    """A month with jobs between two that have none."""
+    far = [Period(date(y, 1, 1), date(y, 1, 31)) for y in (1901, 2000, 2099)]
+    return report.build_report(run.tables, far, run.staging)
+
+
+def _report_from_frames(run: Run) -> DataFrame:
+    frames = pull_frames(run.tables, run.periods)
+    return report.report_of_frames(frames, run.staging)
+
+
 _QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "active_sites": lambda run: dimensions.site_projection(run.tables),
     "reporting_periods": _reporting_periods,
@@ -212,10 +260,10 @@ _QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "scenario_bounds": lambda run: scenario.scenario_bounds(run.tables),
     "scenario_latest": lambda run: jobs.job_picks(run.tables, run.periods, "latest"),
     "scenario_earliest": lambda run: jobs.job_picks(run.tables, run.periods, "earliest"),
-    "scenario_resolved": lambda run: jobs.resolved_charges(run.tables, run.periods),
+    "scenario_resolved": lambda run: _weighted(jobs.resolved_charges(run.tables, run.periods)),
     "custom_charges": _custom_charges,
     "scenario_charges": lambda run: jobs.scenario_charges(run.tables, run.periods),
-    "merged_jobs": Run.merged,
+    "merged_jobs": lambda run: _weighted(run.merged()),
     "modified_quantity": _modified_quantity,
     "imputed_charge": _imputed_charge,
     "fill_flags": _fill_flags,
@@ -234,6 +282,10 @@ _QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "report_keys": _report_keys,
     "site_report": Run.site_report,
     "report_append": _report_append,
+    "report_replace": _report_replace,
+    "report_text_dates": _report_text_dates,
+    "report_empty_months": _empty_months,
+    "report_from_frames": _report_from_frames,
 }
 
 

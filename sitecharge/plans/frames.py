@@ -12,6 +12,7 @@ from sitecharge.operators.dimensions import case_uom_ratios, site_projection
 from sitecharge.operators.jobs import job_facts, scenario_charges, turned_on_dates
 from sitecharge.operators.periods import MIDNIGHT, PERIOD, Period
 from sitecharge.operators.scenario import KEEP
+from sitecharge.operators.skew import small_side
 from sitecharge.sources.tables import Tables
 
 
@@ -52,8 +53,9 @@ def merge_frames(frames: Frames) -> DataFrame:
     ``merged_jobs`` gives the same rows from the tables with one move of the jobs.
     """
     keys = [*PERIOD, "job_id", "site_id", "account_id"]
-    priced = _join_same(frames.job_facts, frames.scenario_charges, keys, "left")
-    owned = _join_same(priced, frames.active_sites, ["site_id", "account_id"], "inner")
+    priced = _join_same(frames.job_facts, frames.scenario_charges.where("job_id IS NOT NULL"), keys, "left")
+    sites = small_side(frames.active_sites, frames.active_sites)
+    owned = _join_same(priced, sites, ["site_id", "account_id"], "inner")
     return (
         _join_same(owned, frames.case_ratios, ["account_id", "case_uom_id"], "left")
         .withColumnsRenamed(

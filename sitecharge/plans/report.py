@@ -22,8 +22,9 @@ from sitecharge.operators.outliers import (
 )
 from sitecharge.operators.periods import MIDNIGHT, Period, year_to_date
 from sitecharge.operators.pricing import merged_jobs, priced_totals, pricing_totals
-from sitecharge.operators.rollup import REPORT_MEASURES, charge_groups, site_rollup
+from sitecharge.operators.rollup import REPORT_MEASURES, SITE_KEYS, charge_groups, site_rollup
 from sitecharge.operators.scenario import KEEP
+from sitecharge.plans.frames import Frames, merge_frames
 from sitecharge.plans.staging import Staging
 from sitecharge.sources.schemas import (
     LOAD_STAMP,
@@ -160,6 +161,43 @@ def build_report(
     return shape_report(values, turned_on_dates(tables))
 
 
+def rows_rollup(
+    rows: DataFrame,
+    staging: Staging,
+    options: ReportOptions = ReportOptions(),
+    measures: list[str] | None = None,
+) -> DataFrame:
+    """The rollup of merged job rows (``copies`` being their multiplicity), whoever made them.
+
+    Rows are folded per unit charge like totals are; projects are counted beside that.
+    """
+    owned = rows.where("company_id IS NOT NULL AND account_id IS NOT NULL AND site_id IS NOT NULL")
+    single = owned.withColumns(
+        {
+            "job_rows": F.lit(1).cast("bigint"),
+            "job_count": F.when(F.col("job_id").isNotNull(), 1).otherwise(0).cast("bigint"),
+            "project_rows": F.lit(0).cast("bigint"),
+            "first_created_at": F.col("created_at"),
+            "last_created_at": F.col("created_at"),
+        }
+    )
+    groups = staging.store(charge_groups(single, measures), "row_groups")
+    rollup = site_rollup(groups, bounds_of(groups, staging, options), options.outliers)
+    projects = owned.groupBy(*SITE_KEYS).agg(F.countDistinct("project_id").alias("_projects"))
+    joined = rollup.join(projects, SITE_KEYS)
+    return joined.withColumn("total_number_of_projects", F.col("_projects")).drop("_projects")
+
+
+def report_of_frames(
+    frames: Frames, staging: Staging, options: ReportOptions = ReportOptions()
+) -> DataFrame:
+    """Report rows from a bundle of frames, of which the user may have made or changed any."""
+    rows = staging.store(merge_frames(frames), "merged_frames")
+    rollup = rows_rollup(rows, staging, options, REPORT_MEASURES)
+    values = adjusted_values(site_ratios(rollup), options.materials)
+    return shape_report(values, frames.turned_on)
+
+
 def stamp(report: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
     """Add the load time (UTC, no zone)."""
     moment = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)

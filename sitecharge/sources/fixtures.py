@@ -45,7 +45,10 @@ VIEWS: dict[str, tuple[str, dict[str, str], bool]] = {
         "{supplier}",
         {
             "site_id": "s_suppkey",
-            "account_id": "CASE WHEN s_suppkey % 17 = 7 THEN NULL ELSE s_nationkey END",
+            "account_id": (
+                "CASE WHEN s_suppkey % 17 = 7 THEN NULL WHEN s_suppkey % 17 = 8 THEN 999"
+                " ELSE s_nationkey END"
+            ),
             "active": "s_suppkey % 9 <> 8",
         },
         False,
@@ -58,7 +61,7 @@ VIEWS: dict[str, tuple[str, dict[str, str], bool]] = {
         },
         False,
     ),
-    # every account has a ratio for every unit
+    # every account has a ratio for every unit; a few are zero, as case or as default ratio
     "uom_ratios": (
         "(" + " UNION ALL ".join(f"SELECT n_nationkey, {u} AS unit FROM {{nation}}" for u in UNITS)
         + ") AS account_units",
@@ -66,12 +69,18 @@ VIEWS: dict[str, tuple[str, dict[str, str], bool]] = {
             "uom_ratio_id": "n_nationkey * 10 + unit",
             "account_id": "n_nationkey",
             "unit_of_measure_id": "unit",
-            "ratio_to_reference_uom": "CAST(power(2.0, unit) AS DOUBLE)",
+            "ratio_to_reference_uom": (
+                "CAST(CASE WHEN n_nationkey % 9 = 4 AND unit = 1 THEN 0 WHEN n_nationkey % 12 = 5"
+                " AND unit = 2 THEN 0 ELSE power(2.0, unit) END AS DOUBLE)"
+            ),
         },
         False,
     ),
+    # one item in six has two equal contexts, another one two that differ in the default ratio
     "uom_contexts": (
-        "{part}",
+        "(SELECT p_partkey, p_size, 0 AS again FROM {part} UNION ALL"
+        " SELECT p_partkey, p_size + p_partkey % 6, 1 FROM {part} WHERE p_partkey % 6 < 2)"
+        " AS contexts",
         {
             "item_id": "p_partkey",
             "default_uom_ratio_id": "(p_partkey % 25) * 10 + p_size % 5",
@@ -88,11 +97,13 @@ VIEWS: dict[str, tuple[str, dict[str, str], bool]] = {
             "work_order_id": "l_suppkey * 100 + l_orderkey % 40",
             "item_id": (
                 "CASE WHEN l_orderkey % 40 = 13 THEN NULL"
-                " ELSE s_nationkey + 25 * (l_orderkey % 40 % 8) END"
+                " ELSE s_nationkey + 25 * ((l_suppkey * 7 + l_orderkey % 40) % (SELECT"
+                " CAST(floor((max(p_partkey) + 1) / 25) AS BIGINT) FROM {part})) END"
             ),
             "scenario_id": (
                 "CASE WHEN l_orderkey % 40 % 7 = 6 THEN NULL"
-                " ELSE (l_suppkey * 40 + l_orderkey % 40) % 150 END"
+                " ELSE (l_suppkey * 40 + l_orderkey % 40) %"
+                " (SELECT max(c_custkey) + 1 FROM {customer}) END"
             ),
             "final_charge_per_unit": (
                 "CAST(CASE WHEN l_orderkey % 40 = 35 THEN 500"
@@ -106,12 +117,16 @@ VIEWS: dict[str, tuple[str, dict[str, str], bool]] = {
         "{lineitem}",
         {
             "job_id": (
-                "(l_orderkey * 10 + l_linenumber) * 100 + ROW_NUMBER() OVER ("
+                "CASE WHEN l_orderkey % 31 = 9 THEN NULL ELSE"
+                " (l_orderkey * 10 + l_linenumber) * 100 + ROW_NUMBER() OVER ("
                 "PARTITION BY l_orderkey, l_linenumber ORDER BY l_suppkey, l_partkey, l_shipdate,"
-                " l_quantity, l_extendedprice, l_discount, l_tax)"
+                " l_quantity, l_extendedprice, l_discount, l_tax) END"
+            ),
+            "site_id": "CASE WHEN l_orderkey % 53 = 7 THEN NULL ELSE l_suppkey END",
+            "work_order_id": (
+                "CASE WHEN l_orderkey % 40 = 17 THEN NULL WHEN l_orderkey % 40 = 18"
+                " THEN -1 - l_suppkey ELSE l_suppkey * 100 + l_orderkey % 40 END"
             ),
-            "site_id": "l_suppkey",
-            "work_order_id": "l_suppkey * 100 + l_orderkey % 40",
             "created_at": "l_shipdate",
             "actual_start_at": "l_shipdate + INTERVAL '1' HOUR * (l_orderkey % 24)",
             "produced_quantity_value_in_reference_uom": (
@@ -150,7 +165,7 @@ VIEWS: dict[str, tuple[str, dict[str, str], bool]] = {
         {
             "scenario_charge_id": "CASE WHEN l_orderkey % 4 = 3 THEN NULL ELSE l_orderkey END",
             "cost_per_unit": "CAST(l_linenumber * 0.25 AS DOUBLE)",
-            "charge_per_unit": "CAST((l_linenumber - 2) * 0.5 AS DOUBLE)",
+            "charge_per_unit": "CAST((l_linenumber - 1) * 0.5 AS DOUBLE)",
             "markup_per_unit": "CAST(l_linenumber * 0.25 AS DOUBLE)",
             "markup_percentage": "l_discount",
             "percentage": "l_tax",
