@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sitecharge.operators.dimensions import item_units, site_lookup
 from sitecharge.operators.periods import MIDNIGHT, PERIOD, Period, tag_periods
 from sitecharge.operators.scenario import KEEP, applying_charges, priced_scenarios, scenario_picks
+from sitecharge.operators.skew import lookup_join
 from sitecharge.sources.tables import Tables
 
 # Smallest quantities that count, for job facts and for scenario charges.
@@ -40,9 +41,8 @@ def job_facts(tables: Tables, periods: list[Period], end: str = MIDNIGHT) -> Dat
     )
     accounts = tables.sites.select("site_id", "account_id")
     return (
-        period_jobs(tables, periods, end=end)
-        .join(orders, "work_order_id", "left")
-        .join(accounts, "site_id", "left")
+        lookup_join(period_jobs(tables, periods, end=end), orders, ["work_order_id"], "job_id")
+        .join(site_lookup(tables, accounts), "site_id", "left")
         .select(
             *PERIOD,
             "account_id",
@@ -108,16 +108,25 @@ def scenario_charges(
 def job_picks(
     tables: Tables, periods: list[Period], which: str = "latest", end: str = MIDNIGHT
 ) -> DataFrame:
-    """Distinct (job, scenario charge at the latest or earliest date); NULL where there is none."""
+    """Distinct (job, scenario charge at the latest or earliest date); NULL where there is none.
+
+    Job ids and charge ids are unique, so only the rows of jobs without id can repeat.
+    """
     orders = tables.work_orders.select("work_order_id", "scenario_id").join(
         scenario_picks(tables, which), "scenario_id", "left"
     )
-    return (
-        period_jobs(tables, periods, MIN_SCENARIOQUANTITY, end)
-        .join(orders, "work_order_id", "left")
-        .select("job_id", "scenario_charge_id")
-        .distinct()
+    counted = period_jobs(tables, periods, MIN_SCENARIOQUANTITY, end)
+    named = lookup_join(
+        counted.where(F.col("job_id").isNotNull()), orders, ["work_order_id"], "job_id"
     )
+    pair = ["job_id", "scenario_charge_id"]
+    return named.select(*pair).unionByName(_nameless_picks(counted, orders).select(*pair))
+
+
+def _nameless_picks(counted: DataFrame, orders: DataFrame) -> DataFrame:
+    """Distinct picks of the jobs without id, found per work order first."""
+    nameless = counted.where(F.col("job_id").isNull()).select("work_order_id", "job_id").distinct()
+    return nameless.join(orders, "work_order_id", "left").select("job_id", "scenario_charge_id").distinct()
 
 
 def resolved_charges(
@@ -133,18 +142,17 @@ def resolved_charges(
         "scenario_id",
         "left",
     )
-    named = (
-        period_jobs(tables, periods, MIN_SCENARIOQUANTITY, end)
-        .where(F.col("job_id").isNotNull())
-        .join(orders, "work_order_id", "left")
-        .select(
-            "job_id",
-            "scenario_charge_id",
-            F.coalesce("charge_copies", F.lit(1).cast("bigint")).alias("copies"),
-        )
+    counted = period_jobs(tables, periods, MIN_SCENARIOQUANTITY, end)
+    named = lookup_join(
+        counted.where(F.col("job_id").isNotNull()), orders, ["work_order_id"], "job_id"
+    ).select(
+        "job_id",
+        "scenario_charge_id",
+        F.coalesce("charge_copies", F.lit(1).cast("bigint")).alias("copies"),
     )
+    at_work = tables.work_orders.select("work_order_id", "scenario_id")
     nameless = [
-        job_picks(tables, periods, which, end).where(F.col("job_id").isNull())
+        _nameless_picks(counted, at_work.join(scenario_picks(tables, which), "scenario_id", "left"))
         for which in ("latest", "earliest")
     ]
     pairs = nameless[0].unionByName(nameless[1]).groupBy("job_id", "scenario_charge_id")

@@ -9,7 +9,7 @@ from sitecharge.operators.dimensions import owned_sites, site_lookup, weighted_i
 from sitecharge.operators.jobs import QUANTITY, job_totals, period_jobs
 from sitecharge.operators.periods import MIDNIGHT, PERIOD, Period
 from sitecharge.operators.scenario import KEEP, folded_scenarios, priced_scenarios
-from sitecharge.operators.skew import left_join
+from sitecharge.operators.skew import left_join, lookup_join
 from sitecharge.sources.tables import Tables
 
 _PARTS = [
@@ -49,44 +49,84 @@ def _account_case_ratio() -> Column:
     return F.when(F.col("case_account_id") == F.col("account_id"), F.col("case_ratio"))
 
 
+def order_prices(tables: Tables, ties: str = KEEP) -> DataFrame:
+    """Per work order, distinct context and applying charge, all that prices a job.
+
+    ``has_id`` is true on the rows for jobs with an id; jobs without one have no scenario charge, so a
+    work order has one row per context for them. ``copies`` is the multiplicity.
+    """
+    charges = priced_scenarios(tables, ties).drop("effective_date_at")
+    rows = unit_work_orders(tables).join(charges, "scenario_id", "left")
+    both, one = F.array(F.lit(True), F.lit(False)), F.array(F.lit(True))
+    first = F.coalesce("first_charge", F.lit(True))
+    rows = rows.withColumn("has_id", F.explode(F.when(first, both).otherwise(one)))
+    charged = ["scenario_charge_id", "scen_uom", "charge_copies"]
+    charged += [name for name in _PARTS if name in charges.columns]
+    known = {name: F.when(F.col("has_id"), F.col(name)) for name in charged}
+    return (
+        rows.withColumns(known)
+        .withColumn("copies", _or_one("context_copies") * _or_one("charge_copies"))
+        .drop("scenario_id", "first_charge", "charge_copies", "context_copies", "project_rows")
+    )
+
+
 def merged_jobs(
-    tables: Tables, periods: list[Period], end: str = MIDNIGHT, ties: str = KEEP
+    tables: Tables,
+    periods: list[Period],
+    end: str = MIDNIGHT,
+    ties: str = KEEP,
+    prices: DataFrame | None = None,
 ) -> DataFrame:
     """Jobs of active sites with unit data, applying charges and the case ratio of the account.
 
     Equals joining the job facts, the scenario charges, the active sites and the case ratios one
     after the other, but scans the jobs once and moves them for one join only: prices are put
-    together per work order first, and once more without scenario charges, for the jobs without
-    id. ``copies`` is the multiplicity of a row.
+    together per work order first (``prices``: a stored ``order_prices``). ``copies`` is the
+    multiplicity of a row.
     """
-    orders = unit_work_orders(tables)
-    priced = left_join(orders, priced_scenarios(tables, ties), "scenario_id")
-    prices = priced.withColumn("has_id", F.lit(True)).unionByName(
-        orders.withColumn("has_id", F.lit(False)), allowMissingColumns=True
-    )
-    return (
+    prices = order_prices(tables, ties) if prices is None else prices
+    owned = (
         period_jobs(tables, periods, end=end)
         .withColumn("has_id", F.col("job_id").isNotNull())
         .join(site_lookup(tables, owned_sites(tables)), "site_id")
-        .join(prices, ["work_order_id", "has_id"], "left")
-        .select(
-            *PERIOD,
-            "company_id",
-            "account_id",
-            "site_id",
-            "job_id",
-            "project_id",
-            "created_at",
-            F.try_divide(QUANTITY, "default_ratio").alias("produced_quantity"),
-            "uom_produced",
-            "case_uom_id",
-            _account_case_ratio().alias("case_ratio"),
-            "scenario_charge_id",
-            "scen_uom",
-            "final_charge_per_unit",
-            *_PARTS,
-            (_or_one("context_copies") * _or_one("charge_copies")).alias("copies"),
-        )
+    )
+    return lookup_join(owned, prices, ["work_order_id", "has_id"], "job_id").select(
+        *PERIOD,
+        "company_id",
+        "account_id",
+        "site_id",
+        "job_id",
+        "project_id",
+        "created_at",
+        F.try_divide(QUANTITY, "default_ratio").alias("produced_quantity"),
+        "uom_produced",
+        "case_uom_id",
+        _account_case_ratio().alias("case_ratio"),
+        "scenario_charge_id",
+        "scen_uom",
+        "final_charge_per_unit",
+        *_PARTS,
+        _or_one("copies").alias("copies"),
+    )
+
+
+def order_totals(
+    tables: Tables,
+    sites: DataFrame,
+    periods: list[Period],
+    prices: DataFrame,
+    end: str = MIDNIGHT,
+) -> DataFrame:
+    """Job totals per work order with its prices: what decides unit charges and how many rows have them."""
+    totals = job_totals(tables, periods, end, dates=False).join(
+        site_lookup(tables, sites), "site_id"
+    )
+    return totals.join(prices, ["work_order_id", "has_id"], "left").withColumns(
+        {
+            "produced_quantity": F.try_divide("reference_quantity", "default_ratio"),
+            "case_ratio": _account_case_ratio(),
+            "copies": _or_one("copies"),
+        }
     )
 
 

@@ -43,6 +43,23 @@ def attach_by_key(
     return rows.withColumn("_salt", salt).join(repeated, [*on, "_salt"]).drop("_salt")
 
 
+def lookup_join(
+    rows: DataFrame, lookup: DataFrame, on: list[str], spread: str, salts: int = SALTS
+) -> DataFrame:
+    """Left join in which rows without a key (the first of ``on``) do not all meet in one task.
+
+    They match nothing, so they may go anywhere: they are dealt over ``salts`` parts by a hash of column ``spread``.
+    """
+    missing = F.col(on[0]).isNull()
+    dealt = F.when(missing, F.pmod(F.xxhash64(spread), F.lit(salts)) + 1).otherwise(0)
+    there = F.when(missing, 1).otherwise(0).cast("long")  # the same for every row, but no literal
+    return (
+        rows.withColumn("_salt", dealt.cast("long"))
+        .join(lookup.withColumn("_salt", there), [*on, "_salt"], "left")
+        .drop("_salt")
+    )
+
+
 def left_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """Left join whose fan-out may be split on either side.
 

@@ -21,7 +21,13 @@ from sitecharge.operators.outliers import (
     flag_outliers,
 )
 from sitecharge.operators.periods import MIDNIGHT, Period, year_to_date
-from sitecharge.operators.pricing import merged_jobs, priced_totals, pricing_totals
+from sitecharge.operators.pricing import (
+    merged_jobs,
+    order_prices,
+    order_totals,
+    priced_totals,
+    pricing_totals,
+)
 from sitecharge.operators.rollup import REPORT_MEASURES, SITE_KEYS, charge_groups, site_rollup
 from sitecharge.operators.scenario import KEEP
 from sitecharge.plans.frames import Frames, merge_frames
@@ -102,11 +108,15 @@ def flagged_jobs(
 ) -> DataFrame:
     """Imputed job rows with the outlier flag.
 
-    The bounds come from the folded totals, so the job rows themselves are neither stored nor
-    gathered per site: they pass through once.
+    The bounds come from totals per work order, so the job rows themselves are neither stored nor
+    gathered per site: they pass through once. Work orders are priced once, for both.
     """
-    bounds = site_bounds(tables, periods, staging, options)
-    rows = impute(merged_jobs(tables, periods, options.end, options.ties))
+    prices = staging.store(order_prices(tables, options.ties), "prices")
+    sites = owned_sites(tables).select("company_id", "account_id", "site_id")
+    totals = order_totals(tables, sites, periods, prices, options.end)
+    groups = staging.store(charge_groups(totals, ["n"]), "charge_groups")
+    bounds = staging.store(bounds_of(groups, staging, options), "bounds")
+    rows = impute(merged_jobs(tables, periods, options.end, options.ties, prices))
     return flag_outliers(rows, bounds, "job_id", options.outliers)
 
 

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from test_report import MARCH, expect_equal, run
 from world import base_world, job, random_world, spark_tables
 
-from sitecharge.operators.jobs import job_totals, scenario_charges, turned_on_dates
+from sitecharge.operators.jobs import job_picks, job_totals, scenario_charges, turned_on_dates
 from sitecharge.operators.periods import year_to_date
 from sitecharge.operators.pricing import merged_jobs
 from sitecharge.operators.rollup import REPORT_MEASURES
-from sitecharge.operators.skew import attach_by_key, left_join
+from sitecharge.operators.skew import attach_by_key, left_join, lookup_join
 from sitecharge.plans.report import build_report, needed_totals
 from sitecharge.plans.staging import Staging, shared_folder
 from sitecharge.sources.schemas import INPUT_COLUMNS
@@ -161,3 +161,21 @@ def test_shared_folder_is_the_sessions(spark):
     assert Staging(spark).folder.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert Staging(spark, "/some/where").folder.startswith("/some/where/run-")
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_work_orders_are_priced_once(spark, stored):
+    plan = physical(merged_jobs(stored, PERIODS))
+    assert len(scans(plan, "jobs")) == len(scans(plan, "work_orders")) == 1
+    assert len(scans(plan, "scenario_charges")) <= 2
+    assert "HashAggregate" not in physical(job_picks(stored, PERIODS)).split("Union")[0]
+
+
+def test_rows_without_key_are_spread(spark):
+    rows = spark.range(400).selectExpr("CAST(NULL AS BIGINT) AS k", "id AS job_id")
+    rows = rows.unionByName(spark.range(3).selectExpr("id AS k", "id + 1000 AS job_id"))
+    lookup = spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, v string")
+    joined = lookup_join(rows, lookup.hint("merge"), ["k"], "job_id")
+    assert {(r.k, r.v) for r in joined.collect()} == {(None, None), (0, None), (1, "a"), (2, "b")}
+    assert joined.count() == 403
+    plan = physical(joined)
+    assert "_salt" in plan.split("hashpartitioning(")[1].split(")")[0]
