@@ -106,25 +106,18 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _filtered(batches: Iterator[pa.RecordBatch], z: float, words: int) -> Iterator[pa.RecordBatch]:
-    """(filter, node, weight, vector, filters) of (node, weight, vector)."""
+    """(node, filters) of (node, vector)."""
     for batch in batches:
         for start in range(0, batch.num_rows, 2000):
             part = batch.slice(start, 2000)
-            flat, offsets = _lists(part.column(2))
+            flat, offsets = _lists(part.column(1))
             sizes = np.diff(offsets)
             for d in np.unique(sizes):
                 rows = np.flatnonzero(sizes == d)
-                vectors = units(flat[(offsets[rows][:, None] + np.arange(d))])
-                lists = passed(vectors, z, words)
-                many = np.array([len(f) for f in lists])
-                owner = pa.array(np.repeat(rows, many))
-                filters = np.concatenate(lists) if len(lists) else np.zeros(0, np.int64)
-                every = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(np.repeat(many, many))]), pa.int32()),
-                    pa.array(np.concatenate([np.tile(f, len(f)) for f in lists] or [filters]), pa.int64()),
-                )
-                columns = [pa.array(filters, pa.int64()), *(part.column(i).take(owner) for i in range(3)), every]
-                yield pa.RecordBatch.from_arrays(columns, names=["filter", "node", "weight", "vector", "filters"])
+                lists = passed(units(flat[offsets[rows][:, None] + np.arange(d)]), z, words)
+                ends = np.cumsum([0, *map(len, lists)])
+                filters = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists), pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows)), filters], names=["node", "filters"])
 
 
 def _labels(links: np.ndarray, ids: np.ndarray, others: np.ndarray) -> list[tuple[int, int]]:
@@ -205,23 +198,20 @@ def near_vectors(embeddings: DataFrame, cosine: float = COSINE, column: str = "e
     classes = stored(ranked(classes, [F.col("d1"), F.col("d2")], "node"))
     z, words = design(classes.count(), cosine)
 
-    kind = embeddings.schema[column].dataType.simpleString()
-    filtered = stored(
-        in_tasks(
-            classes.select("node", "weight", "vector"),
-            partial(_filtered, z=z, words=words),
-            f"filter long, node long, weight long, vector {kind}, filters array<long>",
-        )
-    )
-    parts = filtered.groupBy("filter").agg(F.count("*").alias("n")).where("n > 1")
+    vectors = classes.select("node", "weight", "vector")
+    passing = in_tasks(vectors.drop("weight"), partial(_filtered, z=z, words=words), "node long, filters array<long>")
+    passing = stored(passing)
+    each = passing.select("node", F.explode("filters").alias("filter"))
+    parts = each.groupBy("filter").agg(F.count("*").alias("n")).where("n > 1")
     parts = parts.select("filter", F.ceil(F.col("n") / BLOCK_ROWS).alias("parts"))
-    placed = filtered.join(parts, "filter").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    placed = each.join(parts, "filter").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     blocks = placed.select(
         F.xxhash64("filter", F.least("part", "other"), F.greatest("part", "other")).alias("block"),
         F.when(F.col("part") == F.col("other"), 2).when(F.col("part") < F.col("other"), 0).otherwise(1).alias("side"),
-        "filter", "node", "weight", "vector", "filters",
+        "filter", "node",
     )
+    blocks = blocks.join(vectors, "node").join(passing, "node").select("block", "side", "filter", "node", "weight", "vector", "filters")
     dealt = blocks.repartition("block").sortWithinPartitions("block", "filter")
     found = stored(in_tasks(dealt, partial(_compared, cosine=cosine), "a long, b long, links long"))
 
