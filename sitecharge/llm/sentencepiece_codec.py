@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from sitecharge.llm.shared import in_tasks, slices, text_bytes
 
 MARK = "▁"
-#: Words that a worker keeps encoded; when there are more, it starts anew.
-CACHED_WORDS = 1_000_000
+#: Words that a worker keeps encoded in each of two generations; what is used again moves to the younger one.
+CACHED_WORDS = 120_000
 
 Vocabulary = list[tuple[str, float, str]]
 
@@ -55,11 +55,14 @@ def packed(ids: list[int]) -> bytes:
 class _Words(dict):
     def __init__(self, encode):
         self.encode = encode
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
-        out = self[word] = self.encode(word)
+        out = self.older.get(word)
+        out = self[word] = self.encode(word) if out is None else out
         return out
 
 
@@ -141,7 +144,7 @@ class Codec:
                 pair = left * size + t
                 fit = fits.get(pair)
                 if fit is None:
-                    if len(fits) >= CACHED_WORDS:
+                    if len(fits) >= 3 * CACHED_WORDS:
                         fits.clear()
                     fit = fits[pair] = not self._meet(left, t, len(self.text))
                 if not fit:

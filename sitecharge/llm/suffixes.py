@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitecharge.llm.shared import Rolling, cuts_of, in_tasks, mixed, slices, stored, text_bytes, whole_blocks
+from sitecharge.llm.shared import CHUNK_BYTES, Rolling, cuts_of, in_tasks, mixed, slices, stored, text_bytes, whole_blocks
 
 LENGTH = 400
 GRAM = 32
@@ -81,7 +81,7 @@ def _runs(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator
         data, offsets = text_bytes(batch.column(2))
         for first, last in slices(offsets):
             # a long text is cut into overlapping parts, each with windows of its own
-            step = 1 << 21 if last - first == 1 else 1 << 62
+            step = CHUNK_BYTES if last - first == 1 else 1 << 62
             begin = int(offsets[first])
             while begin + length <= offsets[last]:
                 end = min(int(offsets[last]), begin + step + length - 1)
