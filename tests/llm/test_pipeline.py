@@ -62,6 +62,21 @@ def test_stages(spark, folder):
     assert found == sorted(((r.doc_id, library.encode(r.text or "")) for r in mix.collect()), key=repr)
 
 
+def test_pairs_between_80_and_85_are_near(spark, documents):
+    r = random.Random(4)
+    rows = []
+    for i in range(60):
+        words = [f"w{r.random()}" for _ in range(204)]
+        rows.append((2 * i, " ".join(words), "en", "a", 0))
+        # 200 shingles, of which 20 differ, or 18 when the last words do: 180 / 220 and 182 / 218 are shared
+        for k in (20, 60, 100, 140) if i % 2 else (20, 60, 100, 202):
+            words[k] = f"v{r.random()}"
+        rows.append((2 * i + 1, " ".join(words), "en", "a", 0))
+    assert len(set(near_components(rows, percent=85).values())) == 120
+    kept = corpus_pipeline.one_of_each_group(spark, documents(rows), "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(near_components(rows, percent=80).values())) == list(range(0, 120, 2))
+
+
 def test_run(spark, folder):
     once = corpus_pipeline.run(spark, folder)
     assert once.columns == ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]
