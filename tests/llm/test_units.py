@@ -50,3 +50,30 @@ def test_all_rows_and_empty(messy, messy_documents):
     assert unit_report(messy_documents).count() == len(messy)
     assert without_repeats(messy_documents).columns == messy_documents.columns
     assert unit_report(messy_documents.limit(0)).count() == 0
+
+
+def test_repeated_stretches_of_short_sentences(documents):
+    import random
+
+    r = random.Random(6)
+
+    def shout(n):
+        return " ".join(f"W{r.randint(0, 10**9)}!!" for _ in range(n))
+
+    first, second = shout(60), "Thus. " + shout(3) + f" Of w{r.random():.9f}".replace(".", "") + " on. " + shout(4)
+    texts = [f"{shout(9)} {first} {shout(7)}", f"{shout(5)} {first} {shout(8)}\n{second}", f"{second}\n{shout(2)}", shout(70), "Yes. No.", "Yes. No."]
+    docs = documents([(i, t, "en", "a", 0) for i, t in enumerate(texts)])
+    assert all(row.n_removed == 0 for row in unit_report(docs).collect())
+    kept = {row.doc_id: row.text for row in without_repeats(docs, joined=True).collect()}
+    assert [kept[i] for i in (0, 3, 4, 5)] == [texts[i] for i in (0, 3, 4, 5)]
+    assert kept[1] == texts[1].replace(first + " ", "") and kept[2].strip() == texts[2].split("\n")[1]
+
+
+def test_joined_keeps_an_earliest_occurrence_of_every_unit(messy, messy_documents):
+    rows = {i: t for i, t, *_ in messy if i is not None}
+    report = unit_report(messy_documents, joined=True).collect()
+    alone = {(r.doc_id, r.n_units, tuple(map(tuple, r.spans))) for r in unit_report(messy_documents).collect()}
+    assert len(report) == len(messy)
+    assert sum(r.n_removed for r in report) >= sum(len(spans) for _, _, spans in alone)
+    left = {u for r in without_repeats(messy_documents, joined=True).collect() for *_, u in units(r.text or "", True)}
+    assert {u for t in rows.values() for *_, u in units(t or "", True)} <= left
