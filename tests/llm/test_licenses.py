@@ -40,3 +40,49 @@ def test_table(messy, messy_documents, scanner):
 def test_several_statements_of_a_long_text(scanner):
     text = (FILLER * 400).join(["", "Licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0.", ""])
     assert [f[0] for f in scanner.scan(text)] == ["CC-BY-4.0", "CC-BY-SA-4.0"]
+
+
+def test_templates_bring_their_own_cues():
+    scanner = Scanner([("Own-1.0", "Everyone may copy these pages for teaching.")])
+    assert [f[0] for f in scanner.scan(FILLER + "Everyone may copy\nthese pages for teaching. " + FILLER)] == ["Own-1.0"]
+    with pytest.raises(ValueError):
+        Scanner([("None", " . ")])
+
+
+def test_line_break_in_a_cue(scanner):
+    text = FILLER + "This work is dedicated to the public\ndomain under CC0 1.0 Universal. " + FILLER
+    assert [f[0] for f in scanner.scan(text)] == ["CC0-1.0"]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Licensed under the Artistic License, Version 2.0.",
+        "This work is licensed under the GNU General Public License, version 4.",
+        "This work is licensed under the GNU Library General Public License, version 2.",
+        "Released under the BSD 2-Clause License.",
+        "This work is not licensed under the GNU General Public License, version 3.",
+    ],
+)
+def test_other_names_and_versions_are_other_licenses(scanner, text):
+    assert list(scanner.scan(FILLER + text + " " + FILLER)) == []
+
+
+def test_versions_are_numbers(scanner):
+    text = FILLER + "This work is licensed under the GNU General Public License, version 3.0. " + FILLER
+    assert [(f[0], f[4]) for f in scanner.scan(text)] == [("GPL-3.0", "-3")]
+
+
+@pytest.mark.parametrize("expression", ["MIT", "Apache-2.0 OR MIT", "(GPL-2.0+ WITH Classpath-exception-2.0)"])
+def test_identifiers(scanner, expression):
+    text = f"{FILLER}\n// SPDX-License-Identifier: {expression}\n{FILLER}All rights reserved. {FILLER}"
+    (mark, rights) = scanner.scan(text)
+    assert mark[0] == expression and text[mark[1] : mark[2]] == f"SPDX-License-Identifier: {expression}"
+    assert rights[0] == "LicenseRef-All-Rights-Reserved" and text[rights[1] : rights[2]] == "All rights reserved."
+
+
+@pytest.mark.parametrize("text, name", [("CC BY 4.0", "CC-BY-4.0"), ("CC BY-NC-ND 4.0", "CC-BY-NC-ND-4.0"), ("CC-BY-SA-3.0", "CC-BY-SA-3.0")])
+def test_short_names(scanner, text, name):
+    whole = FILLER + text + ". " + FILLER
+    ((found, first, last, _, _),) = scanner.scan(whole)
+    assert found == name and whole[first:last] == text
