@@ -79,8 +79,6 @@ TEMPLATES = [
 ]
 #: Share of a template's words that has to be found, in order.
 LEAST = 0.8
-#: Templates of a block that are compared by wording, those that save most.
-SHORTLIST = 6
 #: Words that are written large in a template and still do not tell licenses apart.
 GENERIC = {"license", "version", "v", "software", "you", "source", "code", "form", "international", "universal"}
 #: Words that make another license of a statement, or none, where they are added.
@@ -196,7 +194,7 @@ class Scanner:
             block = words[low : at + reach]
             ranked.append((-self._saved(" ".join(block), compressor), i, low, block))
         confirmed = []
-        for saved, i, low, block in sorted(ranked, key=lambda r: r[:2])[:SHORTLIST]:
+        for saved, i, low, block in sorted(ranked, key=lambda r: r[:2]):
             name, template, _, names = self.templates[i]
             share, first, last, differences = self._wording(template, block)
             if saved < 0 and share >= LEAST and first <= at - low < last and self._same(names, block, first, last, differences):

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from sitecharge.llm.licenses import TEMPLATES, Scanner, license_findings
@@ -86,3 +88,12 @@ def test_short_names(scanner, text, name):
     whole = FILLER + text + ". " + FILLER
     ((found, first, last, _, _),) = scanner.scan(whole)
     assert found == name and whole[first:last] == text
+
+
+def test_every_template_that_saves_is_compared():
+    r = random.Random(8)
+    words = [f"w{r.randint(0, 10**6)}" for _ in range(60)]
+    chunks = [" ".join(words[i : i + 3]) for i in range(0, 60, 3)]
+    decoys = [(f"decoy{i}", " ".join(r.sample(chunks, len(chunks)))) for i in range(8)]
+    text = f"{' '.join(words[:30])} Released under the MIT License. {' '.join(words[30:])}"
+    assert [f[0] for f in Scanner([*decoys, ("MIT", "Released under the MIT License.")]).scan(text)] == ["MIT"]
