@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from sitecharge.llm.cap_filters import near_vectors
 from sitecharge.llm.hilbert import LAW, sharded
+from sitecharge.llm.importance import ORACLE as IMPORTANCE_SQL
+from sitecharge.llm.importance import resampled
 from sitecharge.llm.licenses import license_findings
 from sitecharge.llm.minhash import near_duplicates
 from sitecharge.llm.mixing import taken
@@ -71,6 +73,11 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -83,8 +90,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_licenses": op9_licenses,
         "op10_order_minhash": op10_order_minhash,
+        "op12_importance": op12_importance,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_units": UNITS_SQL}
+    return {"op6_units": UNITS_SQL, "op12_importance": IMPORTANCE_SQL}
