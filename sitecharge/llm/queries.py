@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitecharge.llm import word_bpe
 from sitecharge.llm.cap_filters import near_vectors
 from sitecharge.llm.hilbert import LAW, sharded
 from sitecharge.llm.importance import ORACLE as IMPORTANCE_SQL
@@ -25,6 +26,7 @@ from sitecharge.llm.unit_dedup import unit_report
 
 
 TOKENIZER = "piece_bpe_32k.model"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +75,11 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = word_bpe.transcoded(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+    return word_bpe.with_digests(found).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
@@ -90,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_licenses": op9_licenses,
         "op10_order_minhash": op10_order_minhash,
+        "op11_word_table": op11_word_table,
         "op12_importance": op12_importance,
     }
 
