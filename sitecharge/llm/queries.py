@@ -20,6 +20,8 @@ from sitecharge.llm.order_minhash import compared_with_edits
 from sitecharge.llm.quality import judged
 from sitecharge.llm.sentencepiece_codec import transcoded, with_digests
 from sitecharge.llm.shared import table
+from sitecharge.llm.spelling import ORACLE as SPELLING_SQL
+from sitecharge.llm.spelling import spelling_variants
 from sitecharge.llm.suffixes import removals
 from sitecharge.llm.unit_dedup import ORACLE as UNITS_SQL
 from sitecharge.llm.unit_dedup import unit_report
@@ -85,6 +87,10 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -99,8 +105,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_order_minhash": op10_order_minhash,
         "op11_word_table": op11_word_table,
         "op12_importance": op12_importance,
+        "op13_spelling": op13_spelling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_units": UNITS_SQL, "op12_importance": IMPORTANCE_SQL}
+    return {"op6_units": UNITS_SQL, "op12_importance": IMPORTANCE_SQL, "op13_spelling": SPELLING_SQL}
