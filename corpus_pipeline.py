@@ -22,6 +22,8 @@ TOKENIZER = "piece_bpe_32k.model"
 NEAR = 80
 #: (bands, rows) for NEAR: a pair at exactly 0.80 shares no band with a chance of 7 in a million.
 NEAR_BANDS = (30, 5)
+#: Bytes of a string that counts as repeated: shorter than nearly all passages of over 50 words. The 400 of op7 binds that query alone.
+REPEATED = 200
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +48,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the strings of 400 bytes that occur elsewhere; characters stay whole."""
-    spans, held = suffixes.repeated_bytes(docs)
+    """All documents, without the strings of REPEATED bytes that occur elsewhere; characters stay whole."""
+    spans, held = suffixes.repeated_bytes(docs, length=REPEATED)
     kept = suffixes.kept_bytes(spans, held, whole_characters=True).groupBy("text_id").agg(F.min("kept").alias("_kept"))
     found = spans.join(kept, "text_id", "left").select(F.col("text_id").alias("_id"), F.col("n_removed").alias("_removed"), "_kept")
     rows = docs.withColumn("_id", suffixes.text_id()).join(found, "_id", "left")
