@@ -3,21 +3,25 @@
 Input is a histogram: (keys, value, weight), weight being a positive integer count. Quantiles
 interpolate linearly between the two neighbouring order statistics.
 
-Order statistics are found digit by digit. Weights are summed per power of two and leading digits of
-the value; a running sum over these few buckets tells which bucket holds a wanted rank; only that
-bucket is looked at more closely. A double has 52 bits after the leading one, taken as 10 + 21 + 21,
-so no step ever orders more than about two million rows of one group, and the rest is map-side
-combined sums.
+Ranks come from prefix sums in three steps, for all probabilities at once. Values are cut into
+ranges by their sign, power of two and next 20 binary digits, the same ranges for every group; weights
+are summed per group and range on the map side. A running sum over the ranges of a group tells at which
+rank each of them starts, and so which few hold a wanted rank. Only the rows of those
+ranges are put in order, from the rank at which their range starts. A group's rows are never gathered: what is
+sorted of it is its ranges, some million per power of two at most, and the values of the ranges picked.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-_COARSE_BITS = 10
-_FINE_BITS = 31
+_RANGE_BITS = 20
+#: Bits kept for the digits of a range; more than _RANGE_BITS, as exponents are cut off at 2^1000.
+_DIGIT_BITS = 46
 
 
 def _exponent(v: Column) -> Column:
@@ -26,95 +30,54 @@ def _exponent(v: Column) -> Column:
     return F.floor(F.log2(size)).cast("long")
 
 
-def _scale(v: Column) -> Column:
-    """Exponent as a sort key over both signs."""
+def value_range(v: Column, bits: int = _RANGE_BITS) -> Column:
+    """Number of the range of v; it grows with v, and a range holds values that differ by 2^-bits at most, relatively."""
     shifted = _exponent(v) + 2000
-    return F.when(v > 0, shifted).when(v < 0, -shifted).otherwise(F.lit(0).cast("long"))
+    scale = F.when(v > 0, shifted).when(v < 0, -shifted).otherwise(F.lit(0).cast("long"))
+    most = F.lit(2.0 ** (_DIGIT_BITS - 1))
+    leading = v * F.pow(F.lit(2.0), (F.lit(bits) - _exponent(v)).cast("double"))
+    digits = F.floor(F.greatest(F.least(leading, most), -most))
+    return scale * F.lit(1 << _DIGIT_BITS) + digits
 
 
-def _digits(v: Column, bits: int) -> Column:
-    """Leading ``bits`` binary digits of v below its exponent, as an integer."""
-    return F.floor(v * F.pow(F.lit(2.0), (F.lit(bits) - _exponent(v)).cast("double")))
+def _ranks(total: Column, p: float) -> tuple[Column, Column]:
+    """The ranks below and above the position of p."""
+    at = (total - 1) * F.lit(p)
+    return F.floor(at), F.ceil(at)
 
 
 def exact_quantiles(
     hist: DataFrame, keys: list[str], value: str, weight: str, probs: dict[str, float]
 ) -> DataFrame:
-    """One row per group with one column per entry of ``probs`` (name -> probability)."""
-    v = F.col(value)
-    rows = hist.select(
-        *keys,
-        v.alias("_v"),
-        F.col(weight).alias("_n"),
-        _scale(v).alias("_scale"),
-        _digits(v, _COARSE_BITS).alias("_coarse"),
-        _digits(v, _FINE_BITS).alias("_fine"),
-    )
-    coarse_key = [*keys, "_scale", "_coarse"]
-    fine_key = [*coarse_key, "_fine"]
-    fine = rows.groupBy(*fine_key).agg(F.sum("_n").alias("_n"))
-    coarse = fine.groupBy(*coarse_key).agg(F.sum("_n").alias("_n"))
-
-    ranks = _wanted_ranks(coarse, keys, list(probs.values()))
-    ranks = _narrow(ranks, keys, ["_scale", "_coarse"])
-    ranks = _narrow(fine.join(ranks, coarse_key), keys, ["_fine"], coarse_key)
-    ranks = _narrow(rows.join(ranks, fine_key), keys, ["_v"], fine_key)
-    return _interpolate(ranks, keys, list(probs.items()))
-
-
-def _running(part: list[str], by: list[str]) -> Column:
-    """Weight up to and with each row; rows of equal value follow one another."""
-    window = Window.partitionBy(*part).orderBy(*by)
-    rows = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.sum("_n").over(rows)
-
-
-def _wanted_ranks(coarse: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """Every bucket once per wanted rank: the ranks below and above each position."""
-    total = F.sum("_n").over(Window.partitionBy(*keys))
-    position = [(F.col("_total") - 1) * F.lit(p) for p in probs]
-    wanted = F.array(
-        *[
-            F.struct(F.lit(2 * i + side).alias("slot"), rank(at).cast("long").alias("rank"))
-            for i, at in enumerate(position)
-            for side, rank in enumerate((F.floor, F.ceil))
-        ]
-    )
-    end = _running(keys, ["_scale", "_coarse"])
-    placed = coarse.withColumns({"_total": total, "_end": end})
-    near = F.filter(
-        wanted, lambda w: (w["rank"] < F.col("_end")) & (w["rank"] >= F.col("_end") - F.col("_n"))
-    )
-    return (
-        placed.withColumn("_w", F.explode(near))
-        .withColumns({"_slot": F.col("_w.slot"), "_rank": F.col("_w.rank")})
-        .drop("_w")
-    )
-
+    """One row per group with one column per entry of ``probs`` (name -> probability).
 
-def _narrow(
-    counts: DataFrame, keys: list[str], by: list[str], within: list[str] | None = None
-) -> DataFrame:
-    """Per wanted rank, the entry of ``counts`` that holds it; the rank becomes relative to it."""
-    if within is not None:
-        counts = counts.withColumn("_end", _running([*within, "_slot"], by))
-    before = F.col("_end") - F.col("_n")
-    return (
-        counts.where((F.col("_rank") >= before) & (F.col("_rank") < F.col("_end")))
-        .withColumn("_rank", F.col("_rank") - before)
-        .drop("_n", "_end")
-    )
-
-
-def _interpolate(
-    ranks: DataFrame, keys: list[str], probs: list[tuple[str, float]]
-) -> DataFrame:
-    slots = [F.max(F.when(F.col("_slot") == s, F.col("_v"))) for s in range(2 * len(probs))]
-    found = ranks.groupBy(*keys).agg(
-        F.max("_total").alias("_total"), *[c.alias(f"_o{s}") for s, c in enumerate(slots)]
+    ``hist`` is read twice: pass a stored table or a cheap plan.
+    """
+    v = F.col(value)
+    rows = hist.select(*keys, v.alias("_v"), F.col(weight).alias("_n"), value_range(v).alias("_range"))
+    ranges = rows.groupBy(*keys, "_range").agg(F.sum("_n").alias("_n"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranges.withColumns(
+        {
+            "_total": F.sum("_n").over(group),
+            "_start": F.coalesce(F.sum("_n").over(before), F.lit(0)),
+        }
     )
+    wanted = [rank for p in probs.values() for rank in _ranks(F.col("_total"), p)]
+    inside = [(r >= F.col("_start")) & (r < F.col("_start") + F.col("_n")) for r in wanted]
+    picked = placed.where(reduce(Column.__or__, inside)).select(*keys, "_range", "_total", "_start")
+
+    # the explicit exchange serves both the order within a range and the last grouping
+    held = rows.join(picked, [*keys, "_range"]).repartition(*keys)
+    running = Window.partitionBy(*keys, "_range").orderBy("_v")
+    end = F.col("_start") + F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0))
+    ordered = held.withColumn("_end", end)
+    holds = [(r >= F.col("_end") - F.col("_n")) & (r < F.col("_end")) for r in wanted]
+    slots = [F.max(F.when(h, F.col("_v"))).alias(f"_o{s}") for s, h in enumerate(holds)]
+    found = ordered.groupBy(*keys).agg(F.max("_total").alias("_total"), *slots)
     out = []
-    for i, (name, p) in enumerate(probs):
+    for i, (name, p) in enumerate(probs.items()):
         low, high = F.col(f"_o{2 * i}"), F.col(f"_o{2 * i + 1}")
         at = (F.col("_total") - 1) * F.lit(p)
         between = (F.ceil(at) - at) * low + (at - F.floor(at)) * high

@@ -2,9 +2,10 @@
 
 import random
 
+from pyspark.sql import functions as F
 from world import _quantile
 
-from sitecharge.operators.quantiles import exact_quantiles
+from sitecharge.operators.quantiles import exact_quantiles, value_range
 
 PROBS = {"median": 0.5, "high": 0.95, "low": 0.0, "top": 1.0}
 
@@ -42,3 +43,19 @@ def test_equals_sorting(spark):
             spread = [v for v, n in pairs for _ in range(n)]
             values = {p: _quantile(spread, q) for p, q in PROBS.items()}
         assert {p: found[name][p] for p in PROBS} == values, name
+
+
+def test_three_exchanges_for_all_probabilities(spark, tmp_path):
+    rows = [(name, v, n) for name, pairs in groups().items() for v, n in pairs]
+    spark.createDataFrame(rows, "g string, v double, n bigint").write.parquet(f"{tmp_path}/hist")
+    hist = spark.read.parquet(f"{tmp_path}/hist")
+    plan = exact_quantiles(hist, ["g"], "v", "n", PROBS)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+    assert len(moved) == 3 and "SortMergeJoin" not in plan
+
+
+def test_ranges_are_monotone(spark):
+    values = sorted({v for pairs in groups().values() for v, _ in pairs} | {float("-inf"), float("inf"), -5e-324, -1.5, -1e308})
+    frame = spark.createDataFrame([(v,) for v in values], "v double").select("v", value_range(F.col("v")).alias("r"))
+    found = [r.r for r in frame.orderBy("v").collect()]
+    assert found == sorted(found)
