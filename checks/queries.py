@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +14,15 @@ from sitecharge.functions.dates import closed_months, coerce_datetimes, date_tex
 from sitecharge.functions.numeric import money_text, parse_money, parse_percent, percent_text
 from sitecharge.operators import dimensions, impute, jobs, metrics, pricing, scenario
 from sitecharge.operators.periods import FULL_DAY, Period, year_to_date
+from sitecharge.operators.skew import heavy_keys
 from sitecharge.plans import report
 from sitecharge.plans.frames import pull_frames
 from sitecharge.plans.session import configure
 from sitecharge.plans.staging import Staging
 from sitecharge.sources.fixtures import sample_tables
+from sitecharge.sources.layout import read_jobs_by_month, write_in_buckets, write_jobs_by_month
 from sitecharge.sources.sinks import create_report, read_report, render_dates, write_report
-from sitecharge.sources.tables import Tables
+from sitecharge.sources.tables import Tables, typed
 
 AS_OF = date(2000, 7, 15)
 
@@ -239,6 +243,34 @@ def _report_text_dates(run: Run) -> DataFrame:
     return read_report(run.spark, target)
 
 
+def _jobs_by_month(run: Run) -> DataFrame:
+    """Job facts from jobs in folders by month, one of which has been written again."""
+    folder = f"{run.staging.folder}/jobs_by_month"
+    write_jobs_by_month(run.tables.jobs, folder)
+    write_jobs_by_month(run.tables.jobs, folder, months=[date(2000, 2, 1)])
+    laid_out = replace(run.tables, jobs=typed(read_jobs_by_month(run.spark, folder), "jobs"))
+    return jobs.job_facts(laid_out, run.periods)
+
+
+def _merged_in_buckets(run: Run) -> DataFrame:
+    """Merged jobs from jobs and prices in equal buckets."""
+    name, folder = f"b{uuid.uuid4().hex}", run.staging.folder
+    made = {"jobs": run.tables.jobs, "prices": pricing.order_prices(run.tables)}
+    for table, df in made.items():
+        write_in_buckets(df, f"{table}_{name}", "work_order_id", 8, f"{folder}/{table}")
+    nameless = run.staging.store(run.tables.jobs.where("work_order_id IS NULL"), "nameless")
+    laid_out = replace(run.tables, jobs=run.spark.table(f"jobs_{name}"))
+    prices = run.spark.table(f"prices_{name}")
+    return _weighted(pricing.merged_in_buckets(laid_out, nameless, prices, run.periods))
+
+
+def _merged_heavy(run: Run) -> DataFrame:
+    """Merged jobs with the jobs of frequent work orders dealt over many tasks."""
+    counted = jobs.period_jobs(run.tables, run.periods)
+    heavy = heavy_keys(counted, "work_order_id", share=1 / 256)
+    return _weighted(pricing.merged_jobs(run.tables, run.periods, heavy=heavy))
+
+
 def _empty_months(run: Run) -> DataFrame:
     """A month with jobs between two that have none."""
     far = [Period(date(y, 1, 1), date(y, 1, 31)) for y in (1901, 2000, 2099)]
@@ -286,6 +318,9 @@ _QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "report_text_dates": _report_text_dates,
     "report_empty_months": _empty_months,
     "report_from_frames": _report_from_frames,
+    "jobs_by_month": _jobs_by_month,
+    "merged_in_buckets": _merged_in_buckets,
+    "merged_heavy": _merged_heavy,
 }
 
 

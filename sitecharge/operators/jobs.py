@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecharge.operators.dimensions import item_units, site_lookup
-from sitecharge.operators.periods import MIDNIGHT, PERIOD, Period, tag_periods
+from sitecharge.operators.periods import MIDNIGHT, PERIOD, Period, in_months, tag_periods
 from sitecharge.operators.scenario import KEEP, applying_charges, priced_scenarios, scenario_picks
 from sitecharge.operators.skew import lookup_join
 from sitecharge.sources.tables import Tables
@@ -27,7 +27,7 @@ def period_jobs(
     """Jobs started in a period with a quantity above the floor, tagged with the period."""
     quantity = F.col(QUANTITY)
     counted = tables.jobs.where((quantity > above) & ~F.isnan(quantity))
-    return tag_periods(counted, "actual_start_at", periods, end)
+    return tag_periods(in_months(counted, periods), "actual_start_at", periods, end)
 
 
 def job_facts(tables: Tables, periods: list[Period], end: str = MIDNIGHT) -> DataFrame:

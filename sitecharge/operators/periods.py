@@ -13,6 +13,8 @@ MIDNIGHT = "midnight_of_last_day"
 FULL_DAY = "exclusive_next_day"
 
 PERIOD = ["start_date", "end_date"]
+#: Column of jobs that are laid out by month: the first day of the month of their start.
+START_MONTH = "start_month"
 
 
 @dataclass(frozen=True, order=True)
@@ -27,6 +29,23 @@ def year_to_date(as_of: date) -> list[Period]:
     return [Period(a, b - timedelta(days=1)) for a, b in zip(starts, starts[1:])]
 
 
+def months_of(periods: list[Period]) -> list[date]:
+    """First days of all months that a period touches."""
+    numbers = {
+        n
+        for p in periods
+        for n in range(p.start.year * 12 + p.start.month - 1, p.end.year * 12 + p.end.month)
+    }
+    return [date(n // 12, n % 12 + 1, 1) for n in sorted(numbers)]
+
+
+def in_months(df: DataFrame, periods: list[Period]) -> DataFrame:
+    """Of rows laid out by month, those of the months of ``periods``: literals, which leave the other folders unread."""
+    if START_MONTH not in df.columns:
+        return df
+    return df.where(F.col(START_MONTH).isin(months_of(periods))).drop(START_MONTH)
+
+
 def _inside(moment: str, first: date, last: date, end: str) -> str:
     if end == FULL_DAY:
         return f"({moment} >= DATE'{first}' AND {moment} < DATE'{last + timedelta(days=1)}')"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from sitecharge.operators.dimensions import owned_sites, site_lookup, weighted_i
 from sitecharge.operators.jobs import QUANTITY, job_totals, period_jobs
 from sitecharge.operators.periods import MIDNIGHT, PERIOD, Period
 from sitecharge.operators.scenario import KEEP, folded_scenarios, priced_scenarios
-from sitecharge.operators.skew import left_join, lookup_join
+from sitecharge.operators.skew import co_located_join, left_join, lookup_join
 from sitecharge.sources.tables import Tables
 
 _PARTS = [
@@ -76,6 +78,8 @@ def merged_jobs(
     end: str = MIDNIGHT,
     ties: str = KEEP,
     prices: DataFrame | None = None,
+    heavy: list = (),
+    bucketed: bool = False,
 ) -> DataFrame:
     """Jobs of active sites with unit data, applying charges and the case ratio of the account.
 
@@ -83,6 +87,10 @@ def merged_jobs(
     after the other, but scans the jobs once and moves them for one join only: prices are put
     together per work order first (``prices``: a stored ``order_prices``). ``copies`` is the
     multiplicity of a row.
+
+    ``heavy`` names work orders with a large part of the jobs (``operators.skew.heavy_keys``), whose jobs
+    are dealt over many tasks. ``bucketed`` says that jobs and ``prices`` lie in equal buckets of
+    work_order_id (``sources.layout.write_in_buckets``): then no job moves.
     """
     prices = order_prices(tables, ties) if prices is None else prices
     owned = (
@@ -90,7 +98,12 @@ def merged_jobs(
         .withColumn("has_id", F.col("job_id").isNotNull())
         .join(site_lookup(tables, owned_sites(tables)), "site_id")
     )
-    return lookup_join(owned, prices, ["work_order_id", "has_id"], "job_id").select(
+    on = ["work_order_id", "has_id"]
+    if bucketed:
+        priced = co_located_join(owned, prices, on)
+    else:
+        priced = lookup_join(owned, prices, on, "job_id", heavy=heavy)
+    return priced.select(
         *PERIOD,
         "company_id",
         "account_id",
@@ -110,6 +123,23 @@ def merged_jobs(
     )
 
 
+def merged_in_buckets(
+    tables: Tables,
+    nameless: DataFrame,
+    prices: DataFrame,
+    periods: list[Period],
+    end: str = MIDNIGHT,
+) -> DataFrame:
+    """``merged_jobs`` with jobs and prices in equal buckets of work_order_id; no job moves.
+
+    ``nameless`` are the jobs without work order, which are kept beside the buckets and meet no price.
+    """
+    named = merged_jobs(tables, periods, end, prices=prices, bucketed=True)
+    others = replace(tables, jobs=nameless.where("work_order_id IS NULL"))
+    unpriced = merged_jobs(others, periods, end, prices=prices.where(F.lit(False)))
+    return named.unionByName(unpriced)
+
+
 def order_totals(
     tables: Tables,
     sites: DataFrame,

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitecharge.functions.numeric import nan_to_null
+from sitecharge.operators.periods import START_MONTH
 from sitecharge.sources.schemas import ID, INPUT_COLUMNS, UNIQUE_KEYS, input_schema
 
 # Range-filtered at the scan: left bare so that the predicate reaches the files.
 # The filters on it exclude NaN themselves.
 _SCAN_FILTERED = {("jobs", "produced_quantity_value_in_reference_uom")}
+# Kept where the source has it: the folder column of a layout.
+_LAYOUT = {"jobs": START_MONTH}
 
 
 @dataclass(frozen=True)
@@ -51,6 +54,8 @@ def typed(df: DataFrame, table: str) -> DataFrame:
         elif kind != ID and have != kind:
             column = column.cast(kind)
         out.append(column.alias(name))
+    if (layout := _LAYOUT.get(table)) in present:
+        out.append(F.col(present[layout].name).alias(layout))
     return df.select(*out)
 
 
