@@ -15,7 +15,7 @@ from sitecharge.functions.numeric import money_text, parse_money, parse_percent,
 from sitecharge.operators import dimensions, impute, jobs, metrics, pricing, scenario
 from sitecharge.operators.periods import FULL_DAY, Period, year_to_date
 from sitecharge.operators.skew import heavy_keys
-from sitecharge.plans import report
+from sitecharge.plans import incremental, report
 from sitecharge.plans.frames import pull_frames
 from sitecharge.plans.session import configure
 from sitecharge.plans.staging import Staging
@@ -252,6 +252,32 @@ def _jobs_by_month(run: Run) -> DataFrame:
     return jobs.job_facts(laid_out, run.periods)
 
 
+def _two_loads(run: Run) -> tuple[str, str]:
+    """Jobs by month in two loads, and a store refreshed after each: the second brings March to May and changes February."""
+    folder, store = f"{run.staging.folder}/jobs", f"{run.staging.folder}/store"
+    start = F.col("actual_start_at")
+    early = run.tables.jobs.where((start < date(2000, 3, 1)) | (start >= date(2000, 6, 1)))
+    february, late = date(2000, 2, 1), [date(2000, m, 1) for m in (3, 4, 5)]
+    write_jobs_by_month(early.where(F.dayofmonth(start) != 20), folder)
+    incremental.refresh(run.tables, folder, store)
+    write_jobs_by_month(run.tables.jobs, folder, months=[february, *late])
+    incremental.refresh(run.tables, folder, store)
+    others = run.tables.jobs.where((F.dayofmonth(start) == 20) & (start < date(2000, 2, 1)) | (start >= date(2000, 6, 1)))
+    months = others.select(F.trunc(start, "month").alias("m")).distinct().collect()
+    write_jobs_by_month(run.tables.jobs, folder, months=sorted(row.m for row in months))
+    return folder, store
+
+
+def _turned_on_incremental(run: Run) -> DataFrame:
+    folder, store = _two_loads(run)
+    incremental.refresh(run.tables, folder, store)
+    return jobs.turned_on_dates(run.tables, incremental.stored_starts(run.spark, store))
+
+
+def _report_incremental(run: Run) -> DataFrame:
+    return incremental.incremental_report(run.tables, *_two_loads(run), run.periods, run.staging)
+
+
 def _merged_in_buckets(run: Run) -> DataFrame:
     """Merged jobs from jobs and prices in equal buckets."""
     name, folder = f"b{uuid.uuid4().hex}", run.staging.folder
@@ -319,6 +345,8 @@ _QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "report_empty_months": _empty_months,
     "report_from_frames": _report_from_frames,
     "jobs_by_month": _jobs_by_month,
+    "turned_on_incremental": _turned_on_incremental,
+    "report_incremental": _report_incremental,
     "merged_in_buckets": _merged_in_buckets,
     "merged_heavy": _merged_heavy,
 }

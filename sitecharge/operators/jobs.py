@@ -159,17 +159,20 @@ def resolved_charges(
     return named.unionByName(pairs.agg(F.count("*").alias("copies")))
 
 
-def turned_on_dates(tables: Tables) -> DataFrame:
+def first_starts(jobs: DataFrame, *by: str) -> DataFrame:
+    """First start per site and work order, and per ``by``; the jobs are folded before they move."""
+    known = ("work_order_id", "site_id", "actual_start_at")
+    counted = jobs.where(" AND ".join(f"{name} IS NOT NULL" for name in known))
+    return counted.groupBy("site_id", "work_order_id", *by).agg(F.min("actual_start_at").alias("first_start"))
+
+
+def turned_on_dates(tables: Tables, starts: DataFrame | None = None) -> DataFrame:
     """First start of a job with a final charge, per company and account, over all time.
 
     The jobs are folded per (site, work order) before any join, which is all that crosses the
-    network of the full history.
+    network of the full history. ``starts`` are stored ``first_starts`` to be used instead, of any parts of the history.
     """
-    known = ("work_order_id", "site_id", "actual_start_at")
-    counted = tables.jobs.where(" AND ".join(f"{name} IS NOT NULL" for name in known))
-    first_starts = counted.groupBy("site_id", "work_order_id").agg(
-        F.min("actual_start_at").alias("_start")
-    )
+    found = first_starts(tables.jobs) if starts is None else starts
     charged = tables.work_orders.where(F.col("final_charge_per_unit").isNotNull()).select(
         "work_order_id"
     )
@@ -185,9 +188,9 @@ def turned_on_dates(tables: Tables) -> DataFrame:
         .select("site_id", "company_id", "account_id")
     )
     return (
-        first_starts.join(charged, "work_order_id")
+        found.join(charged, "work_order_id")
         .groupBy("site_id")
-        .agg(F.min("_start").alias("_start"))
+        .agg(F.min("first_start").alias("_start"))
         .join(owners, "site_id")
         .groupBy("company_id", "account_id")
         .agg(F.min("_start").alias("date_ov_turned_on"))

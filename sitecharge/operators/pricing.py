@@ -166,12 +166,15 @@ def pricing_totals(
     periods: list[Period],
     end: str = MIDNIGHT,
     dates: bool = True,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Job totals folded once more, per (period, site) and everything that decides a price.
 
     What is left of a site is one row per scenario, final charge and pair of units, however many
-    jobs and work orders it has; only these rows meet the tied charges of a scenario.
+    jobs and work orders it has; only these rows meet the tied charges of a scenario. ``totals`` are
+    stored ``job_totals`` of the periods, in place of the jobs.
     """
+    totals = job_totals(tables, periods, end, dates) if totals is None else totals
     produced = F.try_divide("reference_quantity", "default_ratio")
     copies = _or_one("context_copies")
     created = [
@@ -180,8 +183,7 @@ def pricing_totals(
     ]
     created = created if dates else []
     return (
-        job_totals(tables, periods, end, dates)
-        .join(site_lookup(tables, sites), "site_id")
+        totals.join(site_lookup(tables, sites), "site_id")
         .join(unit_work_orders(tables), "work_order_id", "left")
         .withColumns(
             {

@@ -6,7 +6,7 @@ unit charge alone, so the fold can be stored once and serves both the bounds and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitecharge.functions.charges import FILL_TYPES
@@ -36,6 +36,10 @@ _POSITIVE = {
     "overridden_charge_fill_rate": "overridden_charge_per_unit",
 }
 _FILLS = [f"{t}_fill" for t in FILL_TYPES]
+# Measures that do not add up.
+_OVER = {"first_job_created_date": "min", "last_job_created_date": "max"}
+#: Sketch of a group's projects.
+SKETCH = "project_sketch"
 
 # What the report itself reads; the rest of the rollup is for users of the rollup.
 REPORT_MEASURES = [
@@ -69,15 +73,38 @@ def _measures() -> dict[str, str]:
     return out
 
 
-def charge_groups(priced: DataFrame, measures: list[str] | None = None) -> DataFrame:
+def charge_groups(
+    priced: DataFrame, measures: list[str] | None = None, project_bits: int | None = None
+) -> DataFrame:
     """Fold priced totals per (period, site keys, imputed unit charge).
 
     The imputed charge is part of the shuffle key, so the rows of one big site spread out, and a
-    charge that very many rows share (0, say) is combined before the shuffle.
+    charge that very many rows share (0, say) is combined before the shuffle. With ``project_bits`` a mergeable
+    sketch of the projects of each group is added.
+    """
+    made = _measures()
+    names = list(made) if measures is None else measures
+    aggs = [F.expr(f"{made[n]} AS {n}") for n in names]
+    if project_bits is not None:
+        aggs.append(F.hll_sketch_agg("project_id", project_bits).alias(SKETCH))
+    return impute(priced).groupBy(*_GROUP).agg(*aggs)
+
+
+def project_groups(rows: DataFrame, measures: list[str] | None = None) -> DataFrame:
+    """``charge_groups`` of job rows, with total_number_of_projects a count of distinct projects per site.
+
+    The rows are folded per project as well; of the few charges that a project has at a site the least carries
+    the 1. Rows without project carry none.
     """
     made = _measures()
     names = list(made) if measures is None else measures
-    return impute(priced).groupBy(*_GROUP).agg(*[F.expr(f"{made[n]} AS {n}") for n in names])
+    per_project = impute(rows).groupBy(*_GROUP, "project_id")
+    folded = per_project.agg(*[F.expr(f"{made[n]} AS {n}") for n in names])
+    charges = Window.partitionBy(*SITE_KEYS, "project_id").orderBy("imputed_charge_per_unit")
+    first = F.col("project_id").isNotNull() & (F.row_number().over(charges) == 1)
+    marked = folded.withColumn("total_number_of_projects", first.cast("bigint"))
+    aggs = [F.expr(f"{_OVER.get(n, 'sum')}({n}) AS {n}") for n in names]
+    return marked.groupBy(*_GROUP).agg(*aggs)
 
 
 def site_rollup(
@@ -92,10 +119,9 @@ def site_rollup(
         " AND imputed_charge_per_unit > 0 THEN n ELSE 0 END)",
         "num_outliers": "sum(outlier_charge * n)",
     }
-    over = {"first_job_created_date": "min", "last_job_created_date": "max"}
     for name in groups.columns:
         if name not in (*_GROUP, "n"):
-            aggs[name] = f"{over.get(name, 'sum')}({name})"
+            aggs[name] = f"{_OVER.get(name, 'sum')}({name})"
     for name in ("total_charge_impute", *_MONEY):
         if name in aggs:
             aggs[name] = f"coalesce({aggs[name]}, 0D)"

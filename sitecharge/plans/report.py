@@ -28,7 +28,14 @@ from sitecharge.operators.pricing import (
     priced_totals,
     pricing_totals,
 )
-from sitecharge.operators.rollup import REPORT_MEASURES, SITE_KEYS, charge_groups, site_rollup
+from sitecharge.operators.rollup import (
+    REPORT_MEASURES,
+    SITE_KEYS,
+    SKETCH,
+    charge_groups,
+    project_groups,
+    site_rollup,
+)
 from sitecharge.operators.scenario import KEEP
 from sitecharge.plans.frames import Frames, merge_frames
 from sitecharge.plans.staging import Staging
@@ -42,12 +49,21 @@ from sitecharge.sources.sinks import render_dates, write_report
 from sitecharge.sources.tables import Tables
 
 
+#: How projects of job rows are counted: exactly, or by HyperLogLog sketches.
+EXACT, SKETCHED = "exact", "sketched"
+
+
 @dataclass(frozen=True)
 class ReportOptions:
+    """``projects`` is for reports of frames, whose job rows may share projects over many charges; SKETCHED has a
+    relative standard error of 1.04 / 2^(project_bits / 2), that is 1.6% with 12 bits."""
+
     end: str = MIDNIGHT
     ties: str = KEEP
     outliers: OutlierRule = field(default_factory=OutlierRule)
     materials: MaterialsRule = field(default_factory=MaterialsRule)
+    projects: str = EXACT
+    project_bits: int = 12
 
 
 def needed_totals(
@@ -56,11 +72,12 @@ def needed_totals(
     options: ReportOptions = ReportOptions(),
     measures: list[str] | None = None,
     sites: DataFrame | None = None,
+    job_sums: DataFrame | None = None,
 ) -> DataFrame:
     """Pricing totals, without the creation dates where no measure reads them."""
     chosen = reportable_sites(tables) if sites is None else sites
     dates = measures is None or "first_job_created_date" in measures
-    return pricing_totals(tables, chosen, periods, options.end, dates)
+    return pricing_totals(tables, chosen, periods, options.end, dates, job_sums)
 
 
 def stored_groups(
@@ -70,13 +87,15 @@ def stored_groups(
     options: ReportOptions = ReportOptions(),
     measures: list[str] | None = None,
     sites: DataFrame | None = None,
+    job_sums: DataFrame | None = None,
 ) -> DataFrame:
-    """Charge groups of the periods, from one scan of the jobs.
+    """Charge groups of the periods, from one scan of the jobs (of ``job_sums``, if there are such).
 
     Stored twice on the way: the totals, behind which the jobs are not needed any more, and the
     groups, which bounds and rollup both read.
     """
-    totals = staging.store(needed_totals(tables, periods, options, measures, sites), "totals")
+    totals = needed_totals(tables, periods, options, measures, sites, job_sums)
+    totals = staging.store(totals, "totals")
     priced = priced_totals(tables, totals, options.ties)
     return staging.store(charge_groups(priced, measures), "charge_groups")
 
@@ -126,8 +145,9 @@ def build_rollup(
     staging: Staging,
     options: ReportOptions = ReportOptions(),
     measures: list[str] | None = None,
+    job_sums: DataFrame | None = None,
 ) -> DataFrame:
-    groups = stored_groups(tables, periods, staging, options, measures)
+    groups = stored_groups(tables, periods, staging, options, measures, job_sums=job_sums)
     return site_rollup(groups, bounds_of(groups, staging, options), options.outliers)
 
 
@@ -136,9 +156,10 @@ def build_values(
     periods: list[Period],
     staging: Staging,
     options: ReportOptions = ReportOptions(),
+    job_sums: DataFrame | None = None,
 ) -> DataFrame:
     """Unrounded ratios and values per site and period, with what the report needs only."""
-    rollup = build_rollup(tables, periods, staging, options, REPORT_MEASURES)
+    rollup = build_rollup(tables, periods, staging, options, REPORT_MEASURES, job_sums)
     return adjusted_values(site_ratios(rollup), options.materials)
 
 
@@ -165,10 +186,16 @@ def build_report(
     periods: list[Period],
     staging: Staging,
     options: ReportOptions = ReportOptions(),
+    job_sums: DataFrame | None = None,
+    starts: DataFrame | None = None,
 ) -> DataFrame:
-    """Report rows of all periods, without load stamp."""
-    values = build_values(tables, periods, staging, options)
-    return shape_report(values, turned_on_dates(tables))
+    """Report rows of all periods, without load stamp.
+
+    ``job_sums`` and ``starts`` are stored ``job_totals`` of the periods and ``first_starts`` of all
+    time (``plans.incremental``); with both, the jobs are not read.
+    """
+    values = build_values(tables, periods, staging, options, job_sums)
+    return shape_report(values, turned_on_dates(tables, starts))
 
 
 def rows_rollup(
@@ -179,7 +206,8 @@ def rows_rollup(
 ) -> DataFrame:
     """The rollup of merged job rows (``copies`` being their multiplicity), whoever made them.
 
-    Rows are folded per unit charge like totals are; projects are counted beside that.
+    Rows are folded per unit charge like totals are, from one reading. Projects are counted in the same fold: exactly, by
+    a mark on one charge of each project, or by sketches (``ReportOptions.projects``).
     """
     owned = rows.where("company_id IS NOT NULL AND account_id IS NOT NULL AND site_id IS NOT NULL")
     single = owned.withColumns(
@@ -191,11 +219,16 @@ def rows_rollup(
             "last_created_at": F.col("created_at"),
         }
     )
-    groups = staging.store(charge_groups(single, measures), "row_groups")
-    rollup = site_rollup(groups, bounds_of(groups, staging, options), options.outliers)
-    projects = owned.groupBy(*SITE_KEYS).agg(F.countDistinct("project_id").alias("_projects"))
-    joined = rollup.join(projects, SITE_KEYS)
-    return joined.withColumn("total_number_of_projects", F.col("_projects")).drop("_projects")
+    if options.projects == SKETCHED:
+        groups = staging.store(charge_groups(single, measures, options.project_bits), "row_groups")
+        rollup = site_rollup(groups.drop(SKETCH), bounds_of(groups, staging, options), options.outliers)
+        counted = groups.groupBy(*SITE_KEYS).agg(
+            F.hll_sketch_estimate(F.hll_union_agg(SKETCH)).alias("_projects")
+        )
+        joined = rollup.join(counted, SITE_KEYS)
+        return joined.withColumn("total_number_of_projects", F.col("_projects")).drop("_projects")
+    groups = staging.store(project_groups(single, measures), "row_groups")
+    return site_rollup(groups, bounds_of(groups, staging, options), options.outliers)
 
 
 def report_of_frames(

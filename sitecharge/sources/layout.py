@@ -6,6 +6,7 @@ periods of a run are literals (``operators.periods.in_months``); tables in equal
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,30 @@ def by_month(jobs: DataFrame) -> DataFrame:
     return jobs.withColumn(START_MONTH, F.trunc("actual_start_at", "month"))
 
 
+def write_months(rows: DataFrame, path: str, months: list[date] | None = None) -> None:
+    """Write rows with a START_MONTH below ``path``, a folder per month.
+
+    Without ``months`` the whole layout is written anew; with them, just these are replaced, and emptied where there
+    are no rows. ``rows`` is read twice then: restrict it to ``months`` beforehand.
+    """
+    spark = rows.sparkSession
+    how = "static" if months is None else "dynamic"
+    writer = rows.write.partitionBy(START_MONTH).mode("overwrite")
+    writer.option("partitionOverwriteMode", how).parquet(path)
+    rows.limit(0).drop(START_MONTH).write.mode("overwrite").parquet(f"{path}/{_SCHEMA}")
+    if months is not None:
+        written = {row[0] for row in rows.select(START_MONTH).distinct().collect()}  # some of ``months``
+        for month in set(months) - written:
+            where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{START_MONTH}={month.isoformat()}")
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def read_months(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of ``write_months``, with their month as a column that prunes folders."""
+    columns = spark.read.parquet(f"{path}/{_SCHEMA}").schema
+    return spark.read.schema(columns.add(START_MONTH, "date")).parquet(path)
+
+
 def write_jobs_by_month(
     jobs: DataFrame,
     path: str,
@@ -33,26 +58,34 @@ def write_jobs_by_month(
     A month is dealt over ``files`` tasks by a hash of its rows, so that one with very many jobs is not
     the work of one task.
     """
-    spark = jobs.sparkSession
     rows = by_month(jobs)
     if months is not None:
         rows = rows.where(F.col(START_MONTH).isin(months))
     dealt = F.pmod(F.xxhash64("job_id", "work_order_id", "created_at"), F.lit(files))
-    how = "static" if months is None else "dynamic"
-    writer = rows.repartition(START_MONTH, dealt).write.partitionBy(START_MONTH)
-    writer.mode("overwrite").option("partitionOverwriteMode", how).parquet(path)
-    jobs.limit(0).write.mode("overwrite").parquet(f"{path}/{_SCHEMA}")
-    if months is not None:
-        written = {row[0] for row in rows.select(START_MONTH).distinct().collect()}  # some of ``months``
-        for month in set(months) - written:
-            where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{START_MONTH}={month.isoformat()}")
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    write_months(rows.repartition(START_MONTH, dealt), path, months)
 
 
 def read_jobs_by_month(spark: SparkSession, path: str) -> DataFrame:
     """The jobs of ``write_jobs_by_month``, with their month as a column that operators prune by."""
-    jobs = spark.read.parquet(f"{path}/{_SCHEMA}").schema
-    return spark.read.schema(jobs.add(START_MONTH, "date")).parquet(path)
+    return read_months(spark, path)
+
+
+def month_marks(spark: SparkSession, path: str) -> dict[date, str]:
+    """Month -> a mark of its files (names, sizes, times), for the months of a layout that has them.
+
+    The driver lists folders, as Spark does for any scan; a month that was written again has another mark.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    marks = {}
+    for folder in files.listStatus(where) if files.exists(where) else []:
+        name, _, value = folder.getPath().getName().partition("=")
+        if name != START_MONTH or value.startswith("__"):  # Spark's name for no month
+            continue
+        found = sorted(f"{s.getPath().getName()} {s.getLen()} {s.getModificationTime()}" for s in files.listStatus(folder.getPath()))
+        if any(not f.startswith(("_", ".")) for f in found):
+            marks[date.fromisoformat(value)] = hashlib.sha256("\n".join(found).encode()).hexdigest()
+    return marks
 
 
 def write_in_buckets(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
