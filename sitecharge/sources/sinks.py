@@ -3,19 +3,31 @@
 The target has to exist. ``append`` adds rows, so a second run of a period shows it twice, told
 apart by UPDATED_AT; ``replace_period`` overwrites exactly the periods of the run, a period being its first and last
 day: one that has no rows any more is emptied, and others that overlap it stay as they are.
+
+A load into a folder is seen whole or not at all. Its files go to a folder of their own (``load=...``), and one small
+file below ``_commits`` then names the partitions that count from now on. ``read_report`` reads what the last such file
+names, so a load that dies on the way leaves the rows as they were. What no commit names any more, ``remove_unused``
+deletes. Catalog tables are overwritten partition by partition, and emptied ones dropped after that: Parquet tables of a
+catalog have no commit for both.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import json
+import re
+import time
+import uuid
+from datetime import timedelta
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitecharge.functions.dates import datetime_text
 from sitecharge.operators.periods import Period
+from sitecharge.plans.staging import Staging
 from sitecharge.sources.schemas import (
     ID_COLUMNS,
     LOAD_STAMP,
@@ -26,6 +38,8 @@ from sitecharge.sources.schemas import (
 
 PARTITION = ["START_DATE", "END_DATE"]
 _SCHEMA = "_schema"  # of a folder target, as an empty table; readers pass such names over
+_COMMITS = "_commits"
+_LOAD = "load"
 MODES = ("append", "replace_period")
 
 
@@ -72,19 +86,80 @@ def create_report(
     empty.write.partitionBy(*PARTITION).format("parquet").saveAsTable(target)
 
 
-def _has_rows(spark: SparkSession, path: str) -> bool:
+def _names(spark: SparkSession, path: str, start: str = "") -> list[str]:
     files, where = _folder(spark, path)
-    return any(s.getPath().getName().startswith(f"{PARTITION[0]}=") for s in files.listStatus(where))
+    found = [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
+    return [name for name in found if name.startswith(start)]
+
+
+def _partitions(spark: SparkSession, target: str, load: str = "") -> list[list[str]]:
+    """[load, folder of the start, folder of the end] of what a load wrote; files without a load lie in the target itself."""
+    below = f"{target}/{_LOAD}={load}" if load else target
+    return [
+        [load, start, end]
+        for start in _names(spark, below, f"{PARTITION[0]}=")
+        for end in _names(spark, f"{below}/{start}", f"{PARTITION[1]}=")
+    ]
+
+
+def _state(spark: SparkSession, target: str) -> tuple[int, list[list[str]]]:
+    """Number of the last commit, and the partitions that it names; a target without commits has what lies there."""
+    numbers = [int(n[:-5]) for n in _names(spark, f"{target}/{_COMMITS}") if re.fullmatch(r"\d+\.json", n)]
+    for number in sorted(numbers, reverse=True):
+        files, where = _folder(spark, f"{target}/{_COMMITS}/{number:08d}.json")
+        stream = files.open(where)
+        try:
+            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        if text.endswith("\n"):  # else its writer is not done, or died
+            return max(numbers), json.loads(text)
+    return max(numbers, default=0), _partitions(spark, target)
+
+
+def _commit(spark: SparkSession, target: str, change) -> None:
+    """Write the next commit, ``change`` of the last one; if another load was faster, on top of that."""
+    while True:
+        number, live = _state(spark, target)
+        files, where = _folder(spark, f"{target}/{_COMMITS}/{number + 1:08d}.json")
+        try:
+            stream = files.create(where, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in str(error.java_exception):
+                continue
+            raise
+        stream.write(bytearray(f"{json.dumps(change(live))}\n", "utf-8"))
+        stream.close()
+        return
+
+
+def remove_unused(spark: SparkSession, target: str, older_than: timedelta = timedelta(days=7)) -> list[str]:
+    """Delete loads into a folder that no longer count and have not been touched for a while; their names."""
+    used = {load for load, _, _ in _state(spark, target)[1]}
+    limit = (time.time() - older_than.total_seconds()) * 1000
+    gone = []
+    for name in _names(spark, target, f"{_LOAD}="):
+        files, where = _folder(spark, f"{target}/{name}")
+        if name.partition("=")[2] not in used and files.getFileStatus(where).getModificationTime() <= limit:
+            files.delete(where, True)
+            gone.append(name)
+    return gone
 
 
 def read_report(spark: SparkSession, target: str) -> DataFrame:
+    """All rows of committed loads."""
     names = report_schema().names
     if not _is_path(target):
         return spark.table(target).select(*names)
     schema = _target_schema(spark, target)
-    if not _has_rows(spark, target):
-        return spark.createDataFrame([], schema).select(*names)
-    return spark.read.schema(schema).parquet(target).select(*names)
+    rows = spark.createDataFrame([], schema).select(*names)
+    _, live = _state(spark, target)
+    # files of a load lie one folder deeper than those without
+    for deep in (False, True):
+        paths = [f"{target}/{_LOAD}={load}/{start}/{end}" if deep else f"{target}/{start}/{end}" for load, start, end in live if bool(load) == deep]
+        if paths:
+            rows = rows.unionByName(spark.read.schema(schema).option("basePath", target).parquet(*paths).select(*names))
+    return rows
 
 
 def _target_schema(spark: SparkSession, target: str) -> T.StructType:
@@ -115,19 +190,18 @@ def _fitted(report: DataFrame, target: str) -> DataFrame:
     return cast.select(*[n for n in schema.names if n not in PARTITION], *PARTITION)
 
 
-@contextmanager
-def _only_written_partitions(spark: SparkSession):
-    """Overwriting a catalog table replaces the partitions of the new rows and no others.
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark``, in which an overwrite replaces the partitions of the new rows only.
 
     Inserts into catalog tables take this from the session, not from writer options.
     """
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    return own
 
 
 def _emptied(rows: DataFrame, periods: list[Period]) -> list[tuple[str, str]]:
@@ -141,35 +215,45 @@ def _emptied(rows: DataFrame, periods: list[Period]) -> list[tuple[str, str]]:
 
 
 def _drop_partition(spark: SparkSession, target: str, start: str, end: str) -> None:
-    if not _is_path(target):
-        named = f"{PARTITION[0]} = '{start}', {PARTITION[1]} = '{end}'"
-        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({named})")
-        return
-    files, where = _folder(spark, target)
-    for name, value in zip(PARTITION, (start, end)):
-        below = [s.getPath() for s in files.listStatus(where)]
-        found = [path for path in below if unquote(path.getName()) == f"{name}={value}"]
-        if not found:
-            return
-        where = found[0]
-    files.delete(where, True)
+    named = f"{PARTITION[0]} = '{start}', {PARTITION[1]} = '{end}'"
+    spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({named})")
+
+
+def _load_folder(rows: DataFrame, target: str, replace: bool, periods: list[Period]) -> None:
+    spark, load = rows.sparkSession, uuid.uuid4().hex
+    rows.write.partitionBy(*PARTITION).parquet(f"{target}/{_LOAD}={load}")
+    new = _partitions(spark, target, load)
+    shown = " 00:00:00" if isinstance(rows.schema[PARTITION[0]].dataType, T.StringType) else ""
+    days = [(f"{p.start.isoformat()}{shown}", f"{p.end.isoformat()}{shown}") for p in periods]
+    replaced = {tuple(names) for _, *names in new}
+    replaced |= {tuple(f"{c}={day}" for c, day in zip(PARTITION, both)) for both in days}
+    replaced = {tuple(map(unquote, names)) for names in replaced} if replace else set()
+    _commit(spark, target, lambda live: [p for p in live if tuple(map(unquote, p[1:])) not in replaced] + new)
+
+
+def _load_table(rows: DataFrame, target: str, replace: bool, periods: list[Period]) -> None:
+    spark = rows.sparkSession
+    staging = Staging(spark)
+    try:
+        stored = staging.store(rows, "report")
+        own = _own_session(spark)
+        there = own.read.schema(stored.schema).parquet(*stored.inputFiles()) if stored.inputFiles() else None
+        if there is not None:
+            there.write.insertInto(target, overwrite=replace)
+        for start, end in _emptied(stored, periods) if replace else []:
+            _drop_partition(spark, target, start, end)
+        spark.catalog.refreshTable(target)
+    finally:
+        staging.clear()
 
 
 def write_report(
     report: DataFrame, target: str, mode: str = "append", periods: list[Period] = ()
 ) -> None:
     """Write stamped report rows; ``periods`` are those of the run, of which ``replace_period``
-    empties the ones without rows. It reads the rows twice for that: pass a stored table."""
+    empties the ones without rows."""
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
-    spark = report.sparkSession
     rows = _fitted(report, target)
-    replace = mode == "replace_period"
-    if _is_path(target):
-        writer = rows.write.partitionBy(*PARTITION).option("partitionOverwriteMode", "dynamic")
-        writer.mode("overwrite" if replace else "append").parquet(target)
-    else:
-        with _only_written_partitions(spark):
-            rows.write.insertInto(target, overwrite=replace)
-    for start, end in _emptied(rows, periods) if replace and periods else []:
-        _drop_partition(spark, target, start, end)
+    load = _load_folder if _is_path(target) else _load_table
+    load(rows, target, mode == "replace_period", list(periods))

@@ -1,11 +1,12 @@
 """Report targets: folder and catalog table, both modes."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from world import base_world, job, random_world, spark_tables
 
+from sitecharge.sources import sinks
 from sitecharge.plans.report import build_report, run_report, stamp
 from sitecharge.plans.staging import Staging
 from sitecharge.operators.periods import Period, year_to_date
@@ -157,3 +158,103 @@ def test_staging_is_cleared(spark, tmp_path):
     staging.clear()
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(staging.folder)
+
+
+def test_a_load_that_dies_is_not_seen(spark, tmp_path, monkeypatch):
+    """Between its files and its commit, a load that replaces one month and empties another leaves the old rows."""
+    target = str(tmp_path / "report")
+    create_report(spark, target)
+    world = base_world()
+    world["jobs"] = [job(1), job(2, start=datetime(2000, 2, 10))]
+    run_report(spark_tables(spark, world), MARCH, target, loaded_at=FIRST)
+    before = sorted(map(repr, read_report(spark, target).collect()))
+    world["jobs"] = [job(1), job(3)]
+
+    def dying(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "_commit", dying)
+        with pytest.raises(RuntimeError):
+            run_report(spark_tables(spark, world), MARCH, target, "replace_period", loaded_at=SECOND)
+    assert sorted(map(repr, read_report(spark, target).collect())) == before
+    # nor is one whose commit was begun and never ended
+    (tmp_path / "report" / "_commits" / "00000002.json").write_text("[[")
+    assert sorted(map(repr, read_report(spark, target).collect())) == before
+    run_report(spark_tables(spark, world), MARCH, target, "replace_period", loaded_at=SECOND)
+    assert loads(spark, target) == {(1, SECOND)}
+    assert len(sinks.remove_unused(spark, target, timedelta(0))) == 2
+    assert loads(spark, target) == {(1, SECOND)} and sinks.remove_unused(spark, target, timedelta(0)) == []
+
+
+def test_readers_keep_what_they_began_with(spark, tmp_path):
+    target = str(tmp_path / "report")
+    create_report(spark, target)
+    world = base_world()
+    world["jobs"] = [job(1)]
+    run_report(spark_tables(spark, world), MARCH, target, loaded_at=FIRST)
+    old = read_report(spark, target)
+    run_report(spark_tables(spark, world), MARCH, target, "replace_period", loaded_at=SECOND)
+    assert [r[LOAD_STAMP] for r in old.collect()] == [FIRST]
+    assert loads(spark, target) == {(1, SECOND)}
+
+
+def test_faster_commits_are_built_upon(spark, tmp_path):
+    target = str(tmp_path / "report")
+    create_report(spark, target)
+    sinks._commit(spark, target, lambda live: live + [["a", "START_DATE=x", "END_DATE=y"]])
+    taken = []
+
+    def change(live):
+        return live + [["b", "START_DATE=x", "END_DATE=y"]]
+
+    state = sinks._state
+
+    def late(spark, target):
+        found = state(spark, target)
+        if not taken:  # another load commits in between
+            taken.append(1)
+            sinks._commit(spark, target, lambda live: live + [["c", "START_DATE=x", "END_DATE=y"]])
+        return found
+
+    sinks._state = late
+    try:
+        sinks._commit(spark, target, change)
+    finally:
+        sinks._state = state
+    assert [load for load, *_ in state(spark, target)[1]] == ["a", "c", "b"]
+
+
+def test_folder_without_commits(spark, tmp_path):
+    """Partitions written by other means count until a load replaces them."""
+    target = str(tmp_path / "report")
+    create_report(spark, target)
+    world = base_world()
+    world["jobs"] = [job(1), job(2, start=datetime(2000, 2, 10))]
+    rows = stamp(build_report(spark_tables(spark, world), year_to_date(MARCH), Staging(spark)), FIRST)
+    rows.write.partitionBy("START_DATE", "END_DATE").mode("append").parquet(target)
+    assert loads(spark, target) == {(1, FIRST), (2, FIRST)}
+    run_report(spark_tables(spark, world), FEBRUARY, target, "replace_period", loaded_at=SECOND)
+    assert loads(spark, target) == {(1, SECOND), (2, FIRST)}
+
+
+def test_session_is_left_as_it_is(spark):
+    spark.sql("DROP TABLE IF EXISTS own_report")
+    create_report(spark, "own_report")
+    before = dict(spark.conf.getAll)
+    world = base_world()
+    world["jobs"] = [job(1)]
+    seen = []
+
+    class Watched(type(spark.conf)):
+        def set(self, key, value):
+            seen.append(key)
+            super().set(key, value)
+
+    watched, kind = spark.conf, type(spark.conf)
+    watched.__class__ = Watched
+    try:
+        run_report(spark_tables(spark, world), MARCH, "own_report", "replace_period", loaded_at=FIRST)
+    finally:
+        watched.__class__ = kind
+    assert "spark.sql.sources.partitionOverwriteMode" not in seen and dict(spark.conf.getAll) == before
