@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sitecharge.functions.dates import closed_months, coerce_datetimes, date_text, datetime_text
 from sitecharge.functions.numeric import money_text, parse_money, parse_percent, percent_text
 from sitecharge.operators import dimensions, impute, jobs, metrics, pricing, scenario
+from sitecharge.operators.outliers import OutlierRule
 from sitecharge.operators.periods import FULL_DAY, Period, year_to_date
 from sitecharge.operators.skew import heavy_keys
 from sitecharge.plans import incremental, report
@@ -159,6 +160,23 @@ def _site_upper_bound(run: Run) -> DataFrame:
     return run.bounds().select("start_date", "end_date", "site_id", *rounded)
 
 
+def _site_sketched_bound(run: Run) -> DataFrame:
+    """Whether median and quantile from sketches of 10 bits lie within 2^-10 of the exact ones, which bound the interpolated too."""
+    rule = OutlierRule(sketch_bits=10)
+    sites = dimensions.owned_sites(run.tables).select("company_id", "account_id", "site_id")
+    groups = report.stored_groups(run.tables, run.periods, run.staging, measures=["n"], sites=sites)
+    keys, names = ["start_date", "end_date", "site_id"], ["median", "high"]
+    sketched = report.bounds_of(groups, run.staging, report.ReportOptions(outliers=rule))
+    exact = report.bounds_of(groups, run.staging)
+    both = exact.join(sketched.select(*keys, *(F.col(c).alias(f"{c}_sketch") for c in names)), keys)
+    near = {
+        f"{c}_near": (F.col(f"{c}_sketch") == F.col(c))
+        | (F.abs(F.col(f"{c}_sketch") - F.col(c)) <= F.abs(F.col(c)) / 2**10 + 1e-12)
+        for c in names
+    }
+    return both.select(*keys, *(test.alias(name) for name, test in near.items()))
+
+
 def _materials_share(run: Run) -> DataFrame:
     shares = metrics.add_materials_share(run.ratios())
     return shares.select(*_SITE, "percent_ov_impute_materials")
@@ -327,6 +345,7 @@ _QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "fill_flags": _fill_flags,
     "site_mad": lambda run: run.bounds().drop("high", "upper_bound"),
     "site_upper_bound": _site_upper_bound,
+    "site_sketched_bound": _site_sketched_bound,
     "outlier_flags": _outlier_flags,
     "job_charges": _job_charges,
     "site_rollup": Run.rollup,

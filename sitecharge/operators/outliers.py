@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecharge.operators.periods import PERIOD
-from sitecharge.operators.quantiles import exact_quantiles
+from sitecharge.operators.quantiles import exact_quantiles, sketched_quantiles, value_sketch
 from sitecharge.operators.skew import SALTS, attach_by_key
 
 SITE_PERIOD = [*PERIOD, "site_id"]
@@ -17,7 +17,11 @@ SITE_PERIOD = [*PERIOD, "site_id"]
 
 @dataclass(frozen=True)
 class OutlierRule:
-    """Upper bound = quantile + scaled MAD / mad_factor + upper_pad; lower bound is fixed."""
+    """Upper bound = quantile + scaled MAD / mad_factor + upper_pad; lower bound is fixed.
+
+    ``sketch_bits``, unset by default, takes quantiles from mergeable sketches: order statistics are then off by
+    2^-sketch_bits of themselves at most, of charges and of deviations.
+    """
 
     mad_factor: float = 5
     quantile: float = 0.95
@@ -25,6 +29,14 @@ class OutlierRule:
     lower_bound: float = 0.001
     upper_pad: float = 1
     salts: int = SALTS
+    sketch_bits: int | None = None
+
+
+def _quantiles(hist: DataFrame, value: str, probs: dict[str, float], rule: OutlierRule) -> DataFrame:
+    if rule.sketch_bits is None:
+        return exact_quantiles(hist, SITE_PERIOD, value, "n", probs)
+    sketch = value_sketch(hist, SITE_PERIOD, value, "n", rule.sketch_bits)
+    return sketched_quantiles(sketch, SITE_PERIOD, probs)
 
 
 def charge_bounds(
@@ -37,11 +49,11 @@ def charge_bounds(
     """
     value = "imputed_charge_per_unit"
     probs = {"median": 0.5, "high": rule.quantile}
-    centre = store(exact_quantiles(hist, SITE_PERIOD, value, "n", probs))
+    centre = store(_quantiles(hist, value, probs, rule))
     deviations = attach_by_key(
         hist, centre.select(*SITE_PERIOD, "median"), SITE_PERIOD, value, rule.salts
     ).select(*SITE_PERIOD, F.abs(F.col(value) - F.col("median")).alias("deviation"), "n")
-    spread = exact_quantiles(deviations, SITE_PERIOD, "deviation", "n", {"raw_mad": 0.5})
+    spread = _quantiles(deviations, "deviation", {"raw_mad": 0.5}, rule)
     mad = F.col("raw_mad") * rule.mad_scale
     return (
         centre.join(spread, SITE_PERIOD)

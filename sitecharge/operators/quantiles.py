@@ -46,6 +46,51 @@ def _ranks(total: Column, p: float) -> tuple[Column, Column]:
     return F.floor(at), F.ceil(at)
 
 
+def value_sketch(
+    hist: DataFrame, keys: list[str], value: str, weight: str, bits: int
+) -> DataFrame:
+    """(keys, _range, _n, _sum): weights and weighted sums per group and range of ``bits`` binary digits.
+
+    Sketches of parts of the rows are merged by adding up equal ranges.
+    """
+    v = F.col(value)
+    rows = hist.select(*keys, value_range(v, bits).alias("_range"), v.alias("_v"), F.col(weight).alias("_n"))
+    return rows.groupBy(*keys, "_range").agg(F.sum("_n").alias("_n"), F.sum(F.col("_v") * F.col("_n")).alias("_sum"))
+
+
+def sketched_quantiles(sketch: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    """Quantiles of a ``value_sketch``, in one exchange: order statistics are the means of their ranges.
+
+    The rank is right, the value is not: each order statistic is off by 2^-bits of itself at most.
+    """
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sketch.withColumns(
+        {
+            "_total": F.sum("_n").over(group),
+            "_start": F.coalesce(F.sum("_n").over(before), F.lit(0)),
+            "_v": F.col("_sum") / F.col("_n"),
+        }
+    )
+    return _interpolated(placed, keys, probs, F.col("_start"), F.col("_start") + F.col("_n"))
+
+
+def _interpolated(
+    rows: DataFrame, keys: list[str], probs: dict[str, float], start: Column, end: Column
+) -> DataFrame:
+    """Quantiles from rows of (_v, _total) that hold the ranks from ``start`` to below ``end``."""
+    wanted = [rank for p in probs.values() for rank in _ranks(F.col("_total"), p)]
+    slots = [F.max(F.when((r >= start) & (r < end), F.col("_v"))).alias(f"_o{s}") for s, r in enumerate(wanted)]
+    found = rows.groupBy(*keys).agg(F.max("_total").alias("_total"), *slots)
+    out = []
+    for i, (name, p) in enumerate(probs.items()):
+        low, high = F.col(f"_o{2 * i}"), F.col(f"_o{2 * i + 1}")
+        at = (F.col("_total") - 1) * F.lit(p)
+        between = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+        out.append(F.when(low == high, low).otherwise(between).alias(name))
+    return found.select(*keys, *out)
+
+
 def exact_quantiles(
     hist: DataFrame, keys: list[str], value: str, weight: str, probs: dict[str, float]
 ) -> DataFrame:
@@ -73,13 +118,4 @@ def exact_quantiles(
     running = Window.partitionBy(*keys, "_range").orderBy("_v")
     end = F.col("_start") + F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0))
     ordered = held.withColumn("_end", end)
-    holds = [(r >= F.col("_end") - F.col("_n")) & (r < F.col("_end")) for r in wanted]
-    slots = [F.max(F.when(h, F.col("_v"))).alias(f"_o{s}") for s, h in enumerate(holds)]
-    found = ordered.groupBy(*keys).agg(F.max("_total").alias("_total"), *slots)
-    out = []
-    for i, (name, p) in enumerate(probs.items()):
-        low, high = F.col(f"_o{2 * i}"), F.col(f"_o{2 * i + 1}")
-        at = (F.col("_total") - 1) * F.lit(p)
-        between = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
-        out.append(F.when(low == high, low).otherwise(between).alias(name))
-    return found.select(*keys, *out)
+    return _interpolated(ordered, keys, probs, F.col("_end") - F.col("_n"), F.col("_end"))

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 from world import _quantile
 
-from sitecharge.operators.quantiles import exact_quantiles, value_range
+from sitecharge.operators.quantiles import exact_quantiles, sketched_quantiles, value_range, value_sketch
 
 PROBS = {"median": 0.5, "high": 0.95, "low": 0.0, "top": 1.0}
 
@@ -59,3 +59,26 @@ def test_ranges_are_monotone(spark):
     frame = spark.createDataFrame([(v,) for v in values], "v double").select("v", value_range(F.col("v")).alias("r"))
     found = [r.r for r in frame.orderBy("v").collect()]
     assert found == sorted(found)
+
+
+def test_sketches_are_merged_and_near(spark):
+    import math
+
+    rows = [(name, v, n) for name, pairs in groups().items() for v, n in pairs if name != "extreme"]
+    hist = spark.createDataFrame(rows, "g string, v double, n bigint").repartition(5)
+    bits = 8
+    half = [hist.where(F.xxhash64("v") % 2 == i) for i in (0, 1, -1)]
+    parts = [value_sketch(h, ["g"], "v", "n", bits) for h in half]
+    merged = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("g", "_range").agg(F.sum("_n").alias("_n"), F.sum("_sum").alias("_sum"))
+    found = {r.g: r for r in sketched_quantiles(merged, ["g"], PROBS).collect()}
+    assert set(found) == {name for name, *_ in rows}
+    for name, pairs in groups().items():
+        if name in found and name != "hot":
+            values = sorted(v for v, n in pairs for _ in range(n))
+            for prob, p in PROBS.items():
+                at = (len(values) - 1) * p
+                low, high = values[math.floor(at)], values[math.ceil(at)]
+                off = max(abs(low), abs(high)) * 2.0**-bits + 1e-12
+                assert min(low, high) - off <= found[name][prob] <= max(low, high) + off, (name, prob)
+    plan = sketched_quantiles(parts[0], ["g"], PROBS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
