@@ -51,6 +51,55 @@ def test_templates_bring_their_own_cues():
         Scanner([("None", " . ")])
 
 
+def plain_ranking(scanner, words, at):
+    """Of all templates, in order of relative savings around word ``at``: (license, first, last, whether confirmed)."""
+    import zstandard
+
+    def size(text, dictionary=None):
+        used = dictionary and zstandard.ZstdCompressionDict(dictionary.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(level=3, dict_data=used).compress(text.encode()))
+
+    out = []
+    for i, (name, template, _, names) in enumerate(scanner.templates):
+        own = " ".join(template)
+        low = max(0, at - 3 * len(template) // 2)
+        block = words[low : at + 3 * len(template) // 2]
+        saved = size(" ".join(block)) - size(" ".join(block), own)
+        share, first, last, differences = scanner._wording(template, block)
+        confirmed = share >= 0.8 and first <= at - low < last and scanner._same(names, block, first, last, differences)
+        if saved > 0:
+            out.append((-saved / size(own), i, name, low + first, low + last, confirmed))
+    return [entry[2:] for entry in sorted(out)]
+
+
+def test_the_ranking_decides(scanner):
+    """Statements at random places, some changed: what is found is the first confirmed one of the plain ranking over all templates."""
+    r = random.Random(12)
+    fill = FILLER.split()
+    found = 0
+    for _ in range(60):
+        name, statement = r.choice(TEMPLATES)
+        words = statement.split()
+        for _ in range(r.randint(0, 2)):
+            words[r.randrange(len(words))] = r.choice(fill)
+        text = " ".join(r.choices(fill, k=r.randint(0, 40)) + words + r.choices(fill, k=r.randint(0, 40)))
+        plain = [w.strip(".,:;!?()[]\"'") for w in text.lower().split()]
+        for at in range(len(plain)):
+            ranking = plain_ranking(scanner, plain, at)
+            first = next((entry[:3] for entry in ranking if entry[3]), None)
+            best = scanner.best(plain, at) if plain[at] in scanner.cues else None
+            if plain[at] in scanner.cues:
+                assert (best and best[:3]) == first
+                found += first is not None
+    assert found > 40
+
+
+def test_two_or_three_clauses_are_not_told_apart(scanner):
+    text = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    ((name, *_),) = scanner.scan(f"{FILLER}{text} 1. {FILLER}")
+    assert name == "LicenseRef-BSD-2-or-3-Clause"
+
+
 def test_line_break_in_a_cue(scanner):
     text = FILLER + "This work is dedicated to the public\ndomain under CC0 1.0 Universal. " + FILLER
     assert [f[0] for f in scanner.scan(text)] == ["CC0-1.0"]
