@@ -36,9 +36,8 @@ def job_facts(tables: Tables, periods: list[Period], end: str = MIDNIGHT) -> Dat
     Unit data is attached to the work orders first; the jobs are then joined once, on
     work_order_id.
     """
-    orders = tables.work_orders.join(item_units(tables), "item_id", "left").withColumn(
-        "project_id", F.col("work_order_id")
-    )
+    orders = lookup_join(tables.work_orders, item_units(tables), ["item_id"], "work_order_id")
+    orders = orders.withColumn("project_id", F.col("work_order_id"))
     accounts = tables.sites.select("site_id", "account_id")
     return (
         lookup_join(period_jobs(tables, periods, end=end), orders, ["work_order_id"], "job_id")

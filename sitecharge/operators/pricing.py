@@ -29,8 +29,9 @@ def unit_work_orders(tables: Tables) -> DataFrame:
     ``context_copies`` is the multiplicity of the row, ``project_rows`` is 1 on exactly one row
     per work order.
     """
+    units = weighted_item_units(tables)
     return (
-        tables.work_orders.join(weighted_item_units(tables), "item_id", "left")
+        lookup_join(tables.work_orders, units, ["item_id"], "work_order_id")
         .withColumns(
             {
                 "project_id": F.col("work_order_id"),
@@ -58,7 +59,7 @@ def order_prices(tables: Tables, ties: str = KEEP) -> DataFrame:
     work order has one row per context for them. ``copies`` is the multiplicity.
     """
     charges = priced_scenarios(tables, ties).drop("effective_date_at")
-    rows = unit_work_orders(tables).join(charges, "scenario_id", "left")
+    rows = lookup_join(unit_work_orders(tables), charges, ["scenario_id"], "work_order_id")
     both, one = F.array(F.lit(True), F.lit(False)), F.array(F.lit(True))
     first = F.coalesce("first_charge", F.lit(True))
     rows = rows.withColumn("has_id", F.explode(F.when(first, both).otherwise(one)))

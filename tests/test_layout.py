@@ -144,3 +144,15 @@ def test_heavy_work_orders_are_dealt_out(spark, hot):
         for key, value in before.items():
             spark.conf.set(key, value)
     assert rows_of(merged_jobs(hot, PERIODS, heavy=heavy).drop("created_at")) == rows_of(merged_jobs(hot, PERIODS).drop("created_at"))
+
+
+def test_work_orders_without_item_or_scenario_are_spread(spark, tables):
+    """Neither meet in the one task that NULL hashes to."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df, keys in ((order_prices(tables), {"item_id", "scenario_id"}), (job_facts(tables, PERIODS), {"item_id"})):
+            joins = re.findall(r"SortMergeJoin \[((?:item|scenario)_id)#([^\]]*)\], [^\n]*LeftOuter", physical(df))
+            assert {key for key, _ in joins} == keys
+            assert all("_salt" in rest for _, rest in joins)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
