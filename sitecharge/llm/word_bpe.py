@@ -1,10 +1,11 @@
 """Byte-level BPE with word ends, by a table of distinct words; decoding by a join of ids with pieces.
 
 Texts are cut at white space into words. A task numbers the distinct words of a chunk of its documents, so a document
-is a list of word numbers. The (word, chunk, number) rows of all chunks meet by word; there each distinct word is
-normalised, cut by the tokenizer's own pattern and merged once, and its ids go back to all chunks that have it. Rows
-of a chunk meet again, ids take the places of the numbers, and pieces, looked up by id, are joined as the library joins
-them. Words move once per chunk and not once per occurrence, and no dictionary of the corpus is held anywhere.
+is a list of word numbers. The (word, chunk, number) entries of all chunks meet in buckets by the word's hash, packed, one row
+per bucket and chunk; there each distinct word is normalised, cut by the tokenizer's own pattern and merged once, and
+its ids go back to all chunks that have it. Rows of a chunk meet again, ids take the places of the numbers, and pieces,
+looked up by id, are joined as the library joins them. Words move once per chunk and not once per occurrence, and no
+dictionary is larger than a bucket or a chunk.
 
 The documents are cut twice, for the words and for the numbers; a chunk is known by the hash of its words, so
 a second reading that differs from the first one is an error, never a wrong result. ``docs`` should be a stored
@@ -27,6 +28,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import partial
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +38,16 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitecharge.llm.shared import in_tasks, slices, text_bytes
+from sitecharge.llm.shared import cuts_of, in_tasks, slices, text_bytes
 
 #: Distinct words, and words in all, from which on a chunk is closed.
 CHUNK_WORDS = 250_000
 CHUNK_SIZE = 5_000_000
-#: Rows of word numbers that one message holds.
-BATCH_ROWS = 20_000
-#: Words without white space that a task keeps merged; the table is emptied beyond.
+#: Buckets of words: this many, or four for each shuffle partition. A task has one of them in memory at a time.
+LEAST_BUCKETS = 256
+#: Pieces of words that a task keeps merged, and words of a bucket; the tables are emptied beyond.
 CACHED_WORDS = 100_000
+BUCKET_WORDS = 1_000_000
 
 
 def _byte_letters() -> list[str]:
@@ -198,14 +201,17 @@ class _Numbers(dict):
         return n
 
 
-def _planes(numbers: list[int]) -> bytes:
-    """Numbers as bytes: all first ones, all second ones and so on, compressed."""
-    data = np.array(numbers, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-    return zstandard.compress(data, 1)
+_compress = zstandard.ZstdCompressor(level=3).compress
+_decompress = zstandard.ZstdDecompressor().decompress
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 as bytes: all first ones, all second ones and so on, compressed."""
+    return _compress(np.asarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _numbers(planes: bytes) -> np.ndarray:
-    data = np.frombuffer(zstandard.decompress(planes), np.uint8).reshape(4, -1)
+    data = np.frombuffer(_decompress(planes), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(data.T).reshape(-1).view("<u4").astype(np.int64)
 
 
@@ -221,7 +227,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[in
         for first, last in slices(text_bytes(batch.column(column))[1]):
             rows = []
             for text in batch.column(column)[first:last].to_pylist():
-                rows.append(_planes(list(map(words.__getitem__, words_of(text)))) if text else b"")
+                rows.append(_planes(np.array(list(map(words.__getitem__, words_of(text))), np.int64)) if text else b"")
                 size += len(text or "") // 5
             held.append((batch, first, rows))
             if len(words) >= CHUNK_WORDS or size >= CHUNK_SIZE:
@@ -231,25 +237,33 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[in
         yield closed()
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, chunk, number) of all distinct words of the chunks of (text)."""
+def _word_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, chunk, words, numbers) of all distinct words of the chunks of (text)."""
     for chunk, words, _ in _chunks(batches, 0):
         names = list(words)
-        for first in range(0, len(names), BATCH_ROWS):
-            part = names[first : first + BATCH_ROWS]
-            numbers = np.arange(first, first + len(part))
-            columns = [pa.array(part, pa.string()), pa.array(np.full(len(part), chunk)), pa.array(numbers)]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "chunk", "number"])
+        if not names:
+            continue
+        bucket = np.fromiter((crc32(w.encode()) for w in names), np.int64, len(names)) % buckets
+        order = np.argsort(bucket, kind="stable")
+        cuts = cuts_of(bucket[order])
+        columns: list[list] = [[], [], [], []]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            held = order[a:b]
+            row = (int(bucket[held[0]]), chunk, _compress("\n".join([names[i] for i in held.tolist()]).encode()), _planes(np.diff(held, prepend=0)))
+            for column, value in zip(columns, row):
+                column.append(value)
+        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "chunk", "words", "numbers"])
 
 
 def _document_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, number, data, doc_id) of (doc_id, text), with number null and data the numbers of the words."""
-    names = ["chunk", "number", "data", "doc_id"]
+    """(chunk, bucket, numbers, doc_id) of (doc_id, text), with bucket null and the numbers of the text's words."""
     for chunk, _, held in _chunks(batches, 1):
         for batch, first, rows in held:
             ids = batch.column(0)[first : first + len(rows)]
-            columns = [pa.array(np.full(len(rows), chunk)), pa.nulls(len(rows), pa.int64()), pa.array(rows, pa.binary()), ids]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            columns = [pa.array(np.full(len(rows), chunk)), pa.nulls(len(rows), pa.int32()), pa.array(rows, pa.binary()), ids]
+            yield pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "numbers", "doc_id"])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -264,26 +278,60 @@ def _encoder(tokenizer: Broadcast) -> Encoder:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], tokenizer: Broadcast) -> Iterator[pa.RecordBatch]:
-    """(chunk, number, data) of (word, chunk, number) in order of word: each word is encoded once."""
+    """(chunk, bucket, numbers, sizes, ids) of (bucket, chunk, words, numbers) in order of bucket: each word is encoded once."""
     encoder = _encoder(tokenizer)
-    last, ids = None, b""
+    bucket, table = None, {}
     for batch in batches:
-        data = []
-        for word in batch.column(0).to_pylist():
-            if word != last:
-                last, ids = word, encoder.encode(word).tobytes()
-            data.append(ids)
-        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(data, pa.binary())], names=["chunk", "number", "data"])
+        sizes, ids = [], []
+        for b, packed in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+            if b != bucket or len(table) > BUCKET_WORDS:
+                bucket, table = b, {}
+            found = []
+            for word in _decompress(packed).decode().split("\n"):
+                own = table.get(word)
+                if own is None:
+                    own = table[word] = encoder.encode(word)
+                found.append(own)
+            sizes.append(_planes(np.fromiter(map(len, found), np.int64, len(found))))
+            ids.append(_compress(b"".join(found)))
+        columns = [batch.column(1), batch.column(0), batch.column(3), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "numbers", "sizes", "ids"])
+
+
+_LOST = "words are missing: the documents came in another order when they were read again"
+
+
+class _Chunk:
+    """The ids and the decoded text of each word of a chunk, by number."""
+
+    def __init__(self, rows: list[dict], names: list[str]):
+        kind = np.uint16 if len(names) <= 1 << 16 else np.uint32
+        empty = np.zeros(0, np.int64)
+        numbers = np.concatenate([empty, *(np.cumsum(_numbers(r["numbers"])) for r in rows)])
+        sizes = np.concatenate([empty, *(_numbers(r["sizes"]) for r in rows)])
+        ids = np.frombuffer(b"".join(_decompress(r["ids"]) for r in rows), kind)
+        order = np.argsort(numbers)
+        if (numbers[order] != np.arange(len(numbers))).any():
+            raise ValueError(_LOST)
+        starts = (np.cumsum(sizes) - sizes)[order]
+        self.ends = np.concatenate([[0], np.cumsum(sizes[order])])
+        self.ids = ids[_ranges(starts, sizes[order])].astype(np.int32)
+        joined = [names[i] for i in self.ids.tolist()]
+        bounds = self.ends.tolist()
+        self.decoded = [" ".join(joined[a:b]) for a, b in zip(bounds, bounds[1:])]
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of several ranges, one after another."""
+    stops = np.cumsum(sizes)
+    return np.arange(stops[-1] if len(stops) else 0) + np.repeat(starts - (stops - sizes), sizes)
 
 
 def _rebuilt(batches: Iterator[pa.RecordBatch], tokenizer: Broadcast) -> Iterator[pa.RecordBatch]:
-    """(doc_id, ids, decoded) of (chunk, number, data, doc_id), sorted by chunk with the words first, in order."""
+    """(doc_id, ids, decoded) of (chunk, bucket, numbers, sizes, ids, doc_id), sorted by chunk and bucket, documents last."""
     names = pieces(tokenizer.value)
-    kind = np.uint16 if len(names) <= 1 << 16 else np.uint32
-    chunk = None
-    words: list[bytes] = []
-    ids = ends = decoded = None
-
+    chunk, words = None, None
+    held: list[dict] = []
     for batch in batches:
         for first in range(0, batch.num_rows, 1000):
             part = batch.slice(first, 1000)
@@ -291,22 +339,16 @@ def _rebuilt(batches: Iterator[pa.RecordBatch], tokenizer: Broadcast) -> Iterato
             for begin, end in _runs(chunks, part.column(1).is_null().to_numpy(zero_copy_only=False)):
                 rows = part.slice(begin, end - begin)
                 if chunks[begin] != chunk:
-                    chunk, words, ids = int(chunks[begin]), [], None
+                    chunk, words, held = int(chunks[begin]), None, []
                 if rows.column(1)[0].is_valid:
-                    numbers = rows.column(1).to_numpy()
-                    # chunks with the same words bring the same numbers, more than once
-                    new = np.flatnonzero(np.diff(numbers, prepend=len(words) - 1) > 0)
-                    words += rows.column(2).take(pa.array(new)).to_pylist()
-                    if len(words) != numbers[-1] + 1:
-                        raise ValueError("words are missing: the documents came in another order when they were read again")
+                    for row in rows.to_pylist():
+                        # chunks with the same words bring the same rows more than once
+                        if not held or held[-1]["bucket"] != row["bucket"]:
+                            held.append(row)
                     continue
-                if ids is None:
-                    ids = np.frombuffer(b"".join(words), kind).astype(np.int32)
-                    ends = np.cumsum([0, *(len(w) // kind().itemsize for w in words)])
-                    joined = [names[i] for i in ids.tolist()]
-                    bounds = ends.tolist()
-                    decoded = [" ".join(joined[a:b]) for a, b in zip(bounds, bounds[1:])]
-                yield from _texts(rows, ids, ends, decoded)
+                if words is None:
+                    words, held = _Chunk(held, names), []
+                yield from _texts(rows, words)
 
 
 def _runs(chunks: np.ndarray, documents: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -316,37 +358,40 @@ def _runs(chunks: np.ndarray, documents: np.ndarray) -> Iterator[tuple[int, int]
     return zip(cuts[:-1], cuts[1:])
 
 
-def _texts(rows: pa.RecordBatch, ids: np.ndarray, ends: np.ndarray, decoded: list[str]) -> Iterator[pa.RecordBatch]:
+def _texts(rows: pa.RecordBatch, words: _Chunk) -> Iterator[pa.RecordBatch]:
     held, size, begin = [], 0, 0
     blobs = rows.column(2).to_pylist()
     for i, blob in enumerate(blobs):
         held.append(_numbers(blob) if blob else np.zeros(0, np.int64))
-        if held[-1].max(initial=-1) >= len(decoded):
-            raise ValueError("words are missing: the documents came in another order when they were read again")
+        if held[-1].max(initial=-1) >= len(words.decoded):
+            raise ValueError(_LOST)
         size += len(held[-1])
         if size >= 100_000 or i + 1 == len(blobs):
             numbers = np.concatenate(held)
-            sizes = ends[numbers + 1] - ends[numbers]
-            stops = np.cumsum(sizes)
-            flat = ids[np.arange(stops[-1] if len(stops) else 0) + np.repeat(ends[numbers] - (stops - sizes), sizes)]
+            sizes = words.ends[numbers + 1] - words.ends[numbers]
+            flat = words.ids[_ranges(words.ends[numbers], sizes)]
             cuts = np.concatenate([[0], np.cumsum([len(h) for h in held])])
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops])[cuts], pa.int32()), pa.array(flat, pa.int32()))
-            texts = [" ".join(filter(None, map(decoded.__getitem__, h.tolist()))) for h in held]
-            columns = [rows.column(3)[begin : i + 1], lists, pa.array(texts, pa.string())]
+            ends = np.concatenate([[0], np.cumsum(sizes)])[cuts]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            texts = [" ".join(filter(None, map(words.decoded.__getitem__, h.tolist()))) for h in held]
+            columns = [rows.column(5)[begin : i + 1], lists, pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
             held, size, begin = [], 0, i + 1
 
 
 def transcoded(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """(doc_id, ids, decoded) per row: the ids of the whole text, and the pieces that they decode to."""
-    tokenizer = docs.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer_path))  # as large as its file
+    spark = docs.sparkSession
+    tokenizer = spark.sparkContext.broadcast(read_tokenizer(tokenizer_path))  # as large as its file
+    buckets = max(LEAST_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    words = in_tasks(docs.select("text"), _word_rows, "word string, chunk long, number long")
-    words = words.repartition("word").sortWithinPartitions("word")
-    words = in_tasks(words, partial(_encoded, tokenizer=tokenizer), "chunk long, number long, data binary")
-    numbered = in_tasks(docs.select("doc_id", "text"), _document_rows, f"chunk long, number long, data binary, doc_id {kind}")
-    both = words.withColumn("doc_id", F.lit(None).cast(kind)).unionByName(numbered)
-    both = both.repartition("chunk").sortWithinPartitions("chunk", F.asc_nulls_last("number"))
+    words = in_tasks(docs.select("text"), partial(_word_rows, buckets=buckets), "bucket int, chunk long, words binary, numbers binary")
+    words = words.repartition("bucket").sortWithinPartitions("bucket")
+    packed = "chunk long, bucket int, numbers binary, sizes binary, ids binary"
+    words = in_tasks(words, partial(_encoded, tokenizer=tokenizer), packed)
+    numbered = in_tasks(docs.select("doc_id", "text"), _document_rows, f"chunk long, bucket int, numbers binary, doc_id {kind}")
+    both = words.unionByName(numbered, allowMissingColumns=True)
+    both = both.repartition("chunk").sortWithinPartitions("chunk", F.asc_nulls_last("bucket"))
     return in_tasks(both, partial(_rebuilt, tokenizer=tokenizer), f"doc_id {kind}, ids array<int>, decoded string")
 
 

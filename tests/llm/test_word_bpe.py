@@ -83,17 +83,20 @@ def test_chunks(both, monkeypatch):
 
     texts = ["one two three", "one two three", None, "", "four", "one two three four five", "six " * 9] * 3
     docs = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t], pa.string())], names=["doc_id", "text"]) for i, t in enumerate(texts)]
-    words = [r for b in word_bpe._word_rows(iter([d.select(["text"]) for d in docs])) for r in b.to_pylist()]
-    words.sort(key=lambda r: r["word"])
-    batch = pa.RecordBatch.from_pylist(words, pa.schema({"word": pa.string(), "chunk": pa.int64(), "number": pa.int64()}))
-    encoded = [r | {"doc_id": None} for b in word_bpe._encoded(iter([batch]), Shared) for r in b.to_pylist()]
+    words = [r for b in word_bpe._word_rows(iter([d.select(["text"]) for d in docs]), 2) for r in b.to_pylist()]
+    words.sort(key=lambda r: r["bucket"])
+    packed = pa.schema({"bucket": pa.int32(), "chunk": pa.int64(), "words": pa.binary(), "numbers": pa.binary()})
+    batch = pa.RecordBatch.from_pylist(words, packed)
+    encoded = [r for b in word_bpe._encoded(iter([batch]), Shared) for r in b.to_pylist()]
     numbered = [r for b in word_bpe._document_rows(iter(docs)) for r in b.to_pylist()]
-    rows = sorted(encoded + numbered, key=lambda r: (r["chunk"], r["number"] is None, r["number"] or 0))
-    schema = pa.schema({"chunk": pa.int64(), "number": pa.int64(), "data": pa.binary(), "doc_id": pa.int64()})
+    rows = sorted(encoded + numbered, key=lambda r: (r["chunk"], r["bucket"] is None, r["bucket"] or 0))
+    schema = pa.schema(
+        {"chunk": pa.int64(), "bucket": pa.int32(), "numbers": pa.binary(), "sizes": pa.binary(), "ids": pa.binary(), "doc_id": pa.int64()}
+    )
     out = [r for b in word_bpe._rebuilt(iter([pa.RecordBatch.from_pylist(rows, schema)]), Shared) for r in b.to_pylist()]
     _, library = both
     assert sorted((r["doc_id"], r["ids"]) for r in out) == [(i, library.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)]
-    lost = [r for r in rows if r["number"] != 1]
+    lost = [r for r in rows if r["bucket"] != 1]
     with pytest.raises(ValueError, match="another order"):
         list(word_bpe._rebuilt(iter([pa.RecordBatch.from_pylist(lost, schema)]), Shared))
 
