@@ -184,10 +184,9 @@ def gains(documents: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> Da
     s = documents.select("bucket", F.col("n").alias("s"))
     t = target.select("bucket", F.col("n").alias("t"))
     both = every.join(s, "bucket", "left").join(t, "bucket", "left").na.fill(0, ["s", "t"])
-    sums = both.agg(F.coalesce(F.sum("s"), F.lit(0)).alias("all_s"), F.coalesce(F.sum("t"), F.lit(0)).alias("all_t"))
-    both = both.join(F.broadcast(sums))  # one row
-    real = {c: F.col(c).cast("double") for c in ("s", "t", "all_s", "all_t")}
-    ratio = (real["t"] + 1) * (real["all_s"] + buckets) / ((real["s"] + 1) * (real["all_t"] + buckets))
+    all_s, all_t = both.agg(F.sum("s"), F.sum("t")).first()
+    real = {c: F.col(c).cast("double") for c in ("s", "t")}
+    ratio = (real["t"] + 1) * F.lit(float(all_s + buckets)) / ((real["s"] + 1) * F.lit(float(all_t + buckets)))
     return both.select("bucket", F.floor(1000 * F.log(ratio)).cast("long").alias("gain"))
 
 
