@@ -6,7 +6,7 @@ lengths, in k-d trees over the words of a length; boxes that more than one lette
 is left is verified by the order of the letters.
 
 The tree of a length is cut off at cells of some CELL_WORDS words; its upper part, which all tasks know, is made from a
-sample (SAMPLE_WORDS words by hash order) and has at most CELLS cells, whatever the corpus. It only decides where
+sample (some SAMPLE_WORDS words, those of the lowest hashes) and has at most CELLS cells, whatever the corpus. It only decides where
 words meet: every word is placed, and every word visits each cell that the range search can reach. Each cell is a
 group of a task, with a tree of its own inside. Links are reduced in the task to a count and the
 best partner per word.
@@ -336,7 +336,10 @@ def _trees(words: DataFrame) -> dict[int, tuple[int, Tree]]:
         return {}
     wanted = sum(r["n"] / r["per_cell"] for r in sizes.values())
     wider = max(1.0, wanted / (CELLS // 4))
-    sample = words.where(length.isin(list(sizes))).select("word").orderBy(F.xxhash64("word"), "word").limit(SAMPLE_WORDS)
+    # the words of the lowest hashes, about SAMPLE_WORDS of them: every task sends its share only
+    share = min(1.0, SAMPLE_WORDS / sum(r["n"] for r in sizes.values()))
+    chosen = F.shiftrightunsigned(F.xxhash64("word"), 32) < int(share * 2**32)
+    sample = words.where(length.isin(list(sizes)) & chosen).select("word")
     sample = sorted((r.word.encode("latin-1") for r in sample.collect()), key=lambda w: (len(w), w))
     out, first = {}, 0
     for size, group in groupby(sample, key=len):
