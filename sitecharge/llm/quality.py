@@ -12,7 +12,8 @@ its temperature is set on a part of them that it has not seen. Only labels of do
 crc32(doc_id as text) mod 5 is not 0 are used; labels, language, source and doc_id are no features.
 
 Null texts count as empty; a text without tokens has features of zero and a score like any other. Rows with a
-null doc_id are scored, not learnt from, and not held out. A document with labels 0 and 1 is learnt as 0.
+null doc_id are scored, not learnt from, and not held out. A document with labels 0 and 1 is learnt as 0; of several
+rows with its doc_id one is learnt from, that of the lowest text hash.
 Without labels of both kinds, every score is the smoothed share of ones. Extra columns are ignored.
 """
 
@@ -238,7 +239,10 @@ def scored(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, name: s
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("_quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "_quality")
+    named = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # one text per label, however many rows share its doc_id
+    chosen = named.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.min("_quality").alias("_quality"))
+    chosen = chosen.select("text", "_quality")
     rows = in_tasks(chosen, partial(_features, vectors=vectors), "quality int, features array<float>").toPandas()
     # the order in which rows arrive must not matter
     x = np.array(rows["features"].tolist(), np.float32).reshape(len(rows), 2 * DIMENSIONS)

@@ -84,3 +84,40 @@ def test_network_learns_what_no_line_parts():
     y = (x[:, 0] * x[:, 1] > 0).astype(np.int64)
     network = quality.fit(x, y)
     assert ((network.scores(x) > 0.5) == y).mean() > 0.93
+
+
+def test_context_sums_are_those_of_a_plain_loop():
+    import pyarrow as pa
+
+    rows, _ = made(12, 4)
+    texts = [t for _, t, *_ in rows] + ["", None, "one", "A-b 12 !!"]
+    index = quality.index_vectors()
+    expected = np.zeros(index.shape)
+    for text in texts:
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        words, shapes, _ = quality.tokens(data, np.array([0, len(data)]))
+        own = index[words] + index[shapes]
+        for t in range(len(words)):
+            context = index[shapes[t]].copy()
+            for s in range(max(0, t - quality.REACH), min(len(words), t + quality.REACH + 1)):
+                if s != t:
+                    context += own[s]
+            expected[words[t]] += context
+            expected[shapes[t]] += context
+    batches = [pa.RecordBatch.from_arrays([pa.array(part, pa.string())], names=["text"]) for part in (texts[:5], texts[5:])]
+    (found,) = quality._contexts(iter(batches))
+    sums = np.zeros(index.shape)
+    sums[found.column(0).to_numpy()] = np.column_stack([found.column(1 + d).to_numpy() for d in range(quality.DIMENSIONS)])
+    assert (sums == expected).all()
+
+
+def test_one_text_is_learnt_from_per_label(spark, documents, monkeypatch):
+    rows, labels = made(60, 5)
+    shared = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 5)
+    rows += [(shared, f"text {k} of the shared id", "en", "a", 0) for k in range(300)]
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y: (seen.append(len(x)), fit(x, y))[1])
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    assert quality.judged(documents(rows), table).count() == len(rows)
+    assert seen == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(60))]
