@@ -13,37 +13,62 @@ sorted of it is its ranges, some million per power of two at most, and the value
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 _RANGE_BITS = 20
 #: Bits kept for the digits of a range; more than _RANGE_BITS, as exponents are cut off at 2^1000.
 _DIGIT_BITS = 46
 
+# Expressions are SQL texts here: the same plans, made in a few calls instead of hundreds.
+
 
-def _exponent(v: Column) -> Column:
-    """Power of two at or next to |v|. Only its being monotone matters."""
-    size = F.greatest(F.least(F.abs(v), F.lit(2.0**1000)), F.lit(2.0**-900))
-    return F.floor(F.log2(size)).cast("long")
+def value_range(v: str, bits: int = _RANGE_BITS) -> str:
+    """SQL for the number of the range of column ``v``.
+
+    It grows with v, and the values of a range differ by 2^-bits of themselves at most.
+    """
+    # power of two at or next to |v|; only its being monotone matters
+    exponent = f"CAST(floor(log2(greatest(least(abs({v}), pow(2D, 1000D)), pow(2D, -900D)))) AS BIGINT)"
+    scale = f"CASE WHEN {v} > 0 THEN {exponent} + 2000 WHEN {v} < 0 THEN -({exponent} + 2000) ELSE 0L END"
+    leading = f"{v} * pow(2D, CAST({bits} - {exponent} AS DOUBLE))"
+    most = f"pow(2D, {_DIGIT_BITS - 1}D)"
+    return f"({scale}) * {1 << _DIGIT_BITS}L + floor(greatest(least({leading}, {most}), -{most}))"
 
 
-def value_range(v: Column, bits: int = _RANGE_BITS) -> Column:
-    """Number of the range of v; it grows with v, and a range holds values that differ by 2^-bits at most, relatively."""
-    shifted = _exponent(v) + 2000
-    scale = F.when(v > 0, shifted).when(v < 0, -shifted).otherwise(F.lit(0).cast("long"))
-    most = F.lit(2.0 ** (_DIGIT_BITS - 1))
-    leading = v * F.pow(F.lit(2.0), (F.lit(bits) - _exponent(v)).cast("double"))
-    digits = F.floor(F.greatest(F.least(leading, most), -most))
-    return scale * F.lit(1 << _DIGIT_BITS) + digits
+def _position(p: float) -> str:
+    return f"((_total - 1) * {float(p)!r}D)"
 
 
-def _ranks(total: Column, p: float) -> tuple[Column, Column]:
-    """The ranks below and above the position of p."""
-    at = (total - 1) * F.lit(p)
-    return F.floor(at), F.ceil(at)
+def _wanted(probs: dict[str, float]) -> list[str]:
+    """The ranks below and above the position of each probability."""
+    return [f"{side}({_position(p)})" for p in probs.values() for side in ("floor", "ceil")]
+
+
+def _placed(ranges: DataFrame, keys: list[str], *more: str) -> DataFrame:
+    """(keys, _range, _n) with the group's weight, and the rank at which the range starts."""
+    group = f"PARTITION BY {', '.join(keys)}"
+    before = f"sum(_n) OVER ({group} ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return ranges.selectExpr(
+        *keys, "_range", "_n", f"sum(_n) OVER ({group}) AS _total", f"coalesce({before}, 0) AS _start", *more
+    )
+
+
+def _interpolated(
+    rows: DataFrame, keys: list[str], probs: dict[str, float], start: str, end: str
+) -> DataFrame:
+    """Quantiles from rows of (_v, _total) that hold the ranks from ``start`` to below ``end``."""
+    slots = [
+        F.expr(f"max(CASE WHEN {rank} >= {start} AND {rank} < {end} THEN _v END) AS _o{s}")
+        for s, rank in enumerate(_wanted(probs))
+    ]
+    found = rows.groupBy(*keys).agg(F.max("_total").alias("_total"), *slots)
+    out = []
+    for i, (name, p) in enumerate(probs.items()):
+        low, high, at = f"_o{2 * i}", f"_o{2 * i + 1}", _position(p)
+        between = f"(ceil({at}) - {at}) * {low} + ({at} - floor({at})) * {high}"
+        out.append(f"CASE WHEN {low} = {high} THEN {low} ELSE {between} END AS {name}")
+    return found.selectExpr(*keys, *out)
 
 
 def value_sketch(
@@ -53,9 +78,8 @@ def value_sketch(
 
     Sketches of parts of the rows are merged by adding up equal ranges.
     """
-    v = F.col(value)
-    rows = hist.select(*keys, value_range(v, bits).alias("_range"), v.alias("_v"), F.col(weight).alias("_n"))
-    return rows.groupBy(*keys, "_range").agg(F.sum("_n").alias("_n"), F.sum(F.col("_v") * F.col("_n")).alias("_sum"))
+    rows = hist.selectExpr(*keys, f"{value_range(value, bits)} AS _range", f"{value} AS _v", f"{weight} AS _n")
+    return rows.groupBy(*keys, "_range").agg(F.sum("_n").alias("_n"), F.expr("sum(_v * _n) AS _sum"))
 
 
 def sketched_quantiles(sketch: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
@@ -63,32 +87,8 @@ def sketched_quantiles(sketch: DataFrame, keys: list[str], probs: dict[str, floa
 
     The rank is right, the value is not: each order statistic is off by 2^-bits of itself at most.
     """
-    group = Window.partitionBy(*keys)
-    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sketch.withColumns(
-        {
-            "_total": F.sum("_n").over(group),
-            "_start": F.coalesce(F.sum("_n").over(before), F.lit(0)),
-            "_v": F.col("_sum") / F.col("_n"),
-        }
-    )
-    return _interpolated(placed, keys, probs, F.col("_start"), F.col("_start") + F.col("_n"))
-
-
-def _interpolated(
-    rows: DataFrame, keys: list[str], probs: dict[str, float], start: Column, end: Column
-) -> DataFrame:
-    """Quantiles from rows of (_v, _total) that hold the ranks from ``start`` to below ``end``."""
-    wanted = [rank for p in probs.values() for rank in _ranks(F.col("_total"), p)]
-    slots = [F.max(F.when((r >= start) & (r < end), F.col("_v"))).alias(f"_o{s}") for s, r in enumerate(wanted)]
-    found = rows.groupBy(*keys).agg(F.max("_total").alias("_total"), *slots)
-    out = []
-    for i, (name, p) in enumerate(probs.items()):
-        low, high = F.col(f"_o{2 * i}"), F.col(f"_o{2 * i + 1}")
-        at = (F.col("_total") - 1) * F.lit(p)
-        between = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
-        out.append(F.when(low == high, low).otherwise(between).alias(name))
-    return found.select(*keys, *out)
+    placed = _placed(sketch, keys, "_sum / _n AS _v")
+    return _interpolated(placed, keys, probs, "_start", "_start + _n")
 
 
 def exact_quantiles(
@@ -98,24 +98,16 @@ def exact_quantiles(
 
     ``hist`` is read twice: pass a stored table or a cheap plan.
     """
-    v = F.col(value)
-    rows = hist.select(*keys, v.alias("_v"), F.col(weight).alias("_n"), value_range(v).alias("_range"))
+    rows = hist.selectExpr(*keys, f"{value} AS _v", f"{weight} AS _n", f"{value_range(value)} AS _range")
     ranges = rows.groupBy(*keys, "_range").agg(F.sum("_n").alias("_n"))
-    group = Window.partitionBy(*keys)
-    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranges.withColumns(
-        {
-            "_total": F.sum("_n").over(group),
-            "_start": F.coalesce(F.sum("_n").over(before), F.lit(0)),
-        }
-    )
-    wanted = [rank for p in probs.values() for rank in _ranks(F.col("_total"), p)]
-    inside = [(r >= F.col("_start")) & (r < F.col("_start") + F.col("_n")) for r in wanted]
-    picked = placed.where(reduce(Column.__or__, inside)).select(*keys, "_range", "_total", "_start")
+    inside = " OR ".join(f"{rank} >= _start AND {rank} < _start + _n" for rank in _wanted(probs))
+    picked = _placed(ranges, keys).where(inside).drop("_n")
 
     # the explicit exchange serves both the order within a range and the last grouping
     held = rows.join(picked, [*keys, "_range"]).repartition(*keys)
-    running = Window.partitionBy(*keys, "_range").orderBy("_v")
-    end = F.col("_start") + F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0))
-    ordered = held.withColumn("_end", end)
-    return _interpolated(ordered, keys, probs, F.col("_end") - F.col("_n"), F.col("_end"))
+    running = (
+        f"sum(_n) OVER (PARTITION BY {', '.join(keys)}, _range ORDER BY _v"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    )
+    ordered = held.selectExpr("*", f"_start + {running} AS _end")
+    return _interpolated(ordered, keys, probs, "_end - _n", "_end")
