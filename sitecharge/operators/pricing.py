@@ -213,11 +213,15 @@ def pricing_totals(
     )
 
 
-def priced_totals(tables: Tables, totals: DataFrame, ties: str = KEEP) -> DataFrame:
-    """Pricing totals, one row per distinct applying charge; ``totals`` is best a stored table."""
+def priced_totals(
+    tables: Tables, totals: DataFrame, ties: str = KEEP, folded: DataFrame | None = None
+) -> DataFrame:
+    """Pricing totals, one row per distinct applying charge; ``totals`` and ``folded`` (``folded_scenarios``) are best
+    stored tables."""
     first = F.coalesce("first_charge", F.lit(True))
+    folded = folded_scenarios(tables, ties) if folded is None else folded
     return (
-        left_join(totals, folded_scenarios(tables, ties), "scenario_id")
+        left_join(totals, folded, "scenario_id")
         .withColumns(
             {
                 "copies": _or_one("charge_copies"),

@@ -104,8 +104,11 @@ def left_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
 
     Adaptive execution splits an oversized partition of an outer join on the preserved side only.
     Written as inner join plus the rows without a match, a key with very many rows on the right is
-    split too. ``left`` is read twice: pass a stored table or a cheap plan.
+    split too. ``left`` is read twice then: pass a stored table or a cheap plan. A ``right`` below the broadcast
+    threshold is joined as it is.
     """
+    if broadcastable(right):
+        return left.join(right, on, "left")
     matched = left.join(right, on)
     unmatched = left.join(right.select(on).distinct(), on, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)

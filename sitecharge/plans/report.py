@@ -36,7 +36,7 @@ from sitecharge.operators.rollup import (
     project_groups,
     site_rollup,
 )
-from sitecharge.operators.scenario import KEEP
+from sitecharge.operators.scenario import KEEP, folded_scenarios
 from sitecharge.plans.frames import Frames, merge_frames
 from sitecharge.plans.staging import Staging
 from sitecharge.sources.schemas import (
@@ -91,12 +91,13 @@ def stored_groups(
 ) -> DataFrame:
     """Charge groups of the periods, from one scan of the jobs (of ``job_sums``, if there are such).
 
-    Stored twice on the way: the totals, behind which the jobs are not needed any more, and the
-    groups, which bounds and rollup both read.
+    Stored on the way: the totals, behind which the jobs are not needed any more, the folded charges of the
+    scenarios, whose size is known then, and the groups, which bounds and rollup both read.
     """
     totals = needed_totals(tables, periods, options, measures, sites, job_sums)
     totals = staging.store(totals, "totals")
-    priced = priced_totals(tables, totals, options.ties)
+    folded = staging.store(folded_scenarios(tables, options.ties), "scenarios")
+    priced = priced_totals(tables, totals, options.ties, folded)
     return staging.store(charge_groups(priced, measures), "charge_groups")
 
 
