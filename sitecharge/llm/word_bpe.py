@@ -215,8 +215,11 @@ def _numbers(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(data.T).reshape(-1).view("<u4").astype(np.int64)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[int, _Numbers, list]]:
-    """(chunk, words, documents) with documents as (batch, first row, [numbers of each row])."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Numbers, list]]:
+    """(chunk, words, documents) of (doc_id, text), with documents as (doc_ids, [numbers of each row]).
+
+    Where a chunk ends depends on the rows alone, not on the batches that they come in.
+    """
     words, held, size = _Numbers(), [], 0
 
     def closed() -> tuple[int, _Numbers, list]:
@@ -224,22 +227,25 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[in
         return int.from_bytes(digest, "little", signed=True), words, held
 
     for batch in batches:
-        for first, last in slices(text_bytes(batch.column(column))[1]):
-            rows = []
-            for text in batch.column(column)[first:last].to_pylist():
+        begin, rows = 0, []
+        for first, last in slices(text_bytes(batch.column(1))[1]):
+            for row, text in enumerate(batch.column(1)[first:last].to_pylist(), first):
                 rows.append(_planes(np.array(list(map(words.__getitem__, words_of(text))), np.int64)) if text else b"")
                 size += len(text or "") // 5
-            held.append((batch, first, rows))
-            if len(words) >= CHUNK_WORDS or size >= CHUNK_SIZE:
-                yield closed()
-                words, held, size = _Numbers(), [], 0
+                if len(words) >= CHUNK_WORDS or size >= CHUNK_SIZE:
+                    held.append((batch.column(0)[begin : row + 1], rows))
+                    yield closed()
+                    words, held, size = _Numbers(), [], 0
+                    begin, rows = row + 1, []
+        if rows:
+            held.append((batch.column(0)[begin:], rows))
     if held:
         yield closed()
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """(bucket, chunk, words, numbers) of all distinct words of the chunks of (text)."""
-    for chunk, words, _ in _chunks(batches, 0):
+    """(bucket, chunk, words, numbers) of all distinct words of the chunks of (doc_id, text)."""
+    for chunk, words, _ in _chunks(batches):
         names = list(words)
         if not names:
             continue
@@ -259,9 +265,8 @@ def _word_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.R
 
 def _document_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(chunk, bucket, numbers, doc_id) of (doc_id, text), with bucket null and the numbers of the text's words."""
-    for chunk, _, held in _chunks(batches, 1):
-        for batch, first, rows in held:
-            ids = batch.column(0)[first : first + len(rows)]
+    for chunk, _, held in _chunks(batches):
+        for ids, rows in held:
             columns = [pa.array(np.full(len(rows), chunk)), pa.nulls(len(rows), pa.int32()), pa.array(rows, pa.binary()), ids]
             yield pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "numbers", "doc_id"])
 
@@ -385,11 +390,12 @@ def transcoded(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     tokenizer = spark.sparkContext.broadcast(read_tokenizer(tokenizer_path))  # as large as its file
     buckets = max(LEAST_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    words = in_tasks(docs.select("text"), partial(_word_rows, buckets=buckets), "bucket int, chunk long, words binary, numbers binary")
+    texts = docs.select("doc_id", "text")  # both readings take the same columns, and so the same parts of files
+    words = in_tasks(texts, partial(_word_rows, buckets=buckets), "bucket int, chunk long, words binary, numbers binary")
     words = words.repartition("bucket").sortWithinPartitions("bucket")
     packed = "chunk long, bucket int, numbers binary, sizes binary, ids binary"
     words = in_tasks(words, partial(_encoded, tokenizer=tokenizer), packed)
-    numbered = in_tasks(docs.select("doc_id", "text"), _document_rows, f"chunk long, bucket int, numbers binary, doc_id {kind}")
+    numbered = in_tasks(texts, _document_rows, f"chunk long, bucket int, numbers binary, doc_id {kind}")
     both = words.unionByName(numbered, allowMissingColumns=True)
     both = both.repartition("chunk").sortWithinPartitions("chunk", F.asc_nulls_last("bucket"))
     return in_tasks(both, partial(_rebuilt, tokenizer=tokenizer), f"doc_id {kind}, ids array<int>, decoded string")

@@ -83,7 +83,8 @@ def test_chunks(both, monkeypatch):
 
     texts = ["one two three", "one two three", None, "", "four", "one two three four five", "six " * 9] * 3
     docs = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t], pa.string())], names=["doc_id", "text"]) for i, t in enumerate(texts)]
-    words = [r for b in word_bpe._word_rows(iter([d.select(["text"]) for d in docs]), 2) for r in b.to_pylist()]
+    whole = pa.Table.from_batches(docs).combine_chunks().to_batches()[0]  # other batches, the same chunks
+    words = [r for b in word_bpe._word_rows(iter([whole]), 2) for r in b.to_pylist()]
     words.sort(key=lambda r: r["bucket"])
     packed = pa.schema({"bucket": pa.int32(), "chunk": pa.int64(), "words": pa.binary(), "numbers": pa.binary()})
     batch = pa.RecordBatch.from_pylist(words, packed)
