@@ -2,8 +2,7 @@
 
 Cue words are taken from the templates: a statement cannot be confirmed without one of its template's. Around each, a block
 half as long again as a template, to either side, is cut from the text and compressed alone and with the template as
-zstandard raw dictionary. All templates are ranked by the bytes that they save, as a share of the bytes that they take
-compressed themselves, and confirmed down this ranking: the first wins of which most words occur in the block in order, among them
+zstandard raw dictionary. All templates are ranked by the bytes that they save, and confirmed down this ranking: the first wins of which most words occur in the block in order, among them
 the names and versions that tell licenses apart. The words that are missing or added are reported. A text has as many findings as it has statements; a cue
 inside one that was found starts no new block. SPDX-License-Identifier lines are found by their mark, and their
 expression is the license; so are short names as CC BY 4.0 that stand in no statement. What they save may be nothing.
@@ -144,7 +143,6 @@ class Scanner:
             names = names_of(text)
             self.cues |= cues_of(words, names, spread)
             self.templates.append((name, words, self._with(" ".join(words), level), names))
-        self.sizes = [len(self.alone.compress(" ".join(words).encode())) for _, words, _, _ in self.templates]
         self.marks = self._with("SPDX-License-Identifier: CC BY-NC-SA 4.0", level)
         self.longest = 3 * max(len(words) for _, words, _, _ in self.templates) // 2
         self.seen: dict[tuple, tuple | None] = {}
@@ -193,15 +191,15 @@ class Scanner:
             block = words[low : at + reach]
             saved = self._saved(" ".join(block), compressor)
             if saved > 0:
-                ranked.append((-saved / self.sizes[i], i, saved, low, block))
+                ranked.append((-saved, i, low, block))
         held = set(words)
-        for _, i, saved, low, block in sorted(ranked, key=lambda r: r[:2]):
+        for saved, i, low, block in sorted(ranked, key=lambda r: r[:2]):
             name, template, _, names = self.templates[i]
             if sum(w in held for w in template) < LEAST * len(template):
                 continue  # too few of its words, in whatever order: not to be confirmed
             share, first, last, differences = self._wording(template, block)
             if share >= LEAST and first <= at - low < last and self._same(names, block, first, last, differences):
-                return name, low + first, low + last, saved, " ".join(differences)
+                return name, low + first, low + last, -saved, " ".join(differences)
         return None
 
     @staticmethod

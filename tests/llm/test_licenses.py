@@ -52,7 +52,7 @@ def test_templates_bring_their_own_cues():
 
 
 def plain_ranking(scanner, words, at):
-    """Of all templates, in order of relative savings around word ``at``: (license, first, last, whether confirmed)."""
+    """Of all templates, in order of savings around word ``at``: (license, first, last, whether confirmed)."""
     import zstandard
 
     def size(text, dictionary=None):
@@ -68,7 +68,7 @@ def plain_ranking(scanner, words, at):
         share, first, last, differences = scanner._wording(template, block)
         confirmed = share >= 0.8 and first <= at - low < last and scanner._same(names, block, first, last, differences)
         if saved > 0:
-            out.append((-saved / size(own), i, name, low + first, low + last, confirmed))
+            out.append((-saved, i, name, low + first, low + last, confirmed))
     return [entry[2:] for entry in sorted(out)]
 
 

@@ -68,5 +68,11 @@ def test_repeated_bytes(docs, rows):
 
 
 def test_licenses(docs, rows):
-    found = {(r.doc_id, r.license, r["first"]) for r in license_findings(docs).collect()}
-    assert found == {(i, "MIT", t.index("Released under the MIT")) for i, t, *_ in rows if t and "Released under the MIT" in t}
+    """Found where it stands; another template of the license may save a byte more and be confirmed with fewer words."""
+    statement = "Released under the MIT License."
+    places = {i: t.index(statement) for i, t, *_ in rows if t and statement in t}
+    found = license_findings(docs).collect()
+    assert sorted((r.doc_id, r.license) for r in found) == sorted((i, "MIT") for i in places)
+    for r in found:
+        at = places[r.doc_id]
+        assert at <= r["first"] <= at + len("Released ") and r["last"] == at + len(statement)
