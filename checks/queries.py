@@ -14,7 +14,7 @@ from sitecharge.functions.dates import closed_months, coerce_datetimes, date_tex
 from sitecharge.functions.numeric import money_text, parse_money, parse_percent, percent_text
 from sitecharge.operators import dimensions, impute, jobs, metrics, pricing, scenario
 from sitecharge.operators.outliers import OutlierRule
-from sitecharge.operators.periods import FULL_DAY, Period, year_to_date
+from sitecharge.operators.periods import FULL_DAY, START_MONTH, Period, year_to_date
 from sitecharge.operators.skew import heavy_keys
 from sitecharge.plans import incremental, report
 from sitecharge.plans.frames import pull_frames
@@ -271,18 +271,23 @@ def _jobs_by_month(run: Run) -> DataFrame:
 
 
 def _two_loads(run: Run) -> tuple[str, str]:
-    """Jobs by month in two loads, and a store refreshed after each: the second brings March to May and changes February."""
-    folder, store = f"{run.staging.folder}/jobs", f"{run.staging.folder}/store"
+    """Jobs by month in two loads, and a store refreshed after each: the second brings March to May and changes February.
+
+    A third load brings what the first left out. All three take the jobs from one layout by month, which is made once.
+    """
+    folder, store, whole = (f"{run.staging.folder}/{name}" for name in ("jobs", "store", "whole"))
+    write_jobs_by_month(run.tables.jobs, whole)
+    every = typed(read_jobs_by_month(run.spark, whole), "jobs")
     start = F.col("actual_start_at")
-    early = run.tables.jobs.where((start < date(2000, 3, 1)) | (start >= date(2000, 6, 1)))
+    early = every.where((start < date(2000, 3, 1)) | (start >= date(2000, 6, 1)))
     february, late = date(2000, 2, 1), [date(2000, m, 1) for m in (3, 4, 5)]
-    write_jobs_by_month(early.where(F.dayofmonth(start) != 20), folder)
+    write_jobs_by_month(early.where(F.dayofmonth(start) != 20), folder, laid_out=True)
     incremental.refresh(run.tables, folder, store)
-    write_jobs_by_month(run.tables.jobs, folder, months=[february, *late])
+    write_jobs_by_month(every, folder, months=[february, *late], laid_out=True)
     incremental.refresh(run.tables, folder, store)
-    others = run.tables.jobs.where((F.dayofmonth(start) == 20) & (start < date(2000, 2, 1)) | (start >= date(2000, 6, 1)))
-    months = others.select(F.trunc(start, "month").alias("m")).distinct().collect()
-    write_jobs_by_month(run.tables.jobs, folder, months=sorted(row.m for row in months))
+    others = every.where((F.dayofmonth(start) == 20) & (start < date(2000, 2, 1)) | (start >= date(2000, 6, 1)))
+    months = others.select(START_MONTH).distinct().collect()
+    write_jobs_by_month(every, folder, months=sorted(row[0] for row in months), laid_out=True)
     return folder, store
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecharge.operators.dimensions import item_units, site_lookup
-from sitecharge.operators.periods import MIDNIGHT, PERIOD, Period, in_months, tag_periods
+from sitecharge.operators.periods import MIDNIGHT, PERIOD, START_MONTH, Period, in_month, in_months, tag_periods
 from sitecharge.operators.scenario import KEEP, applying_charges, priced_scenarios, scenario_picks
 from sitecharge.operators.skew import lookup_join
 from sitecharge.sources.tables import Tables
@@ -196,17 +196,8 @@ def turned_on_dates(tables: Tables, starts: DataFrame | None = None) -> DataFram
     )
 
 
-def job_totals(
-    tables: Tables, periods: list[Period], end: str = MIDNIGHT, dates: bool = True
-) -> DataFrame:
-    """Period jobs folded per (period, site, work order).
-
-    All jobs of a work order at a site share every charge, and job value is linear in the
-    quantity, so the fold loses nothing the report needs. Partial aggregation happens before the
-    shuffle: a work order that owns a large part of all jobs arrives as one row per task. Jobs
-    without id have no scenario charge and form a row of their own (``has_id``);
-    ``first_of_order`` is true on one row per work order. ``dates`` adds the first and last creation.
-    """
+def _totals(counted: Column, dates: bool) -> Column:
+    """Of a group's ``counted`` jobs, the totals of those with and of those without id; the empty ones are left out later."""
     named = F.col("job_id").isNotNull()
 
     def total(these: Column, has_id: bool) -> Column:
@@ -222,11 +213,11 @@ def job_totals(
             *(created_columns if dates else []),
         )
 
-    folded = (
-        period_jobs(tables, periods, end=end)
-        .groupBy(*PERIOD, "site_id", "work_order_id")
-        .agg(F.array(total(named, True), total(~named, False)).alias("_totals"))
-    )
+    return F.array(total(counted & named, True), total(counted & ~named, False))
+
+
+def _total_rows(folded: DataFrame) -> DataFrame:
+    """A row per total of ``_totals`` that has jobs."""
     there = F.filter("_totals", lambda t: t["job_rows"] > 0)
     return folded.select(
         *PERIOD, "site_id", "work_order_id", F.posexplode(there).alias("_at", "_t")
@@ -238,3 +229,42 @@ def job_totals(
         F.when(F.col("_t.has_id"), F.col("_t.job_rows")).otherwise(0).alias("job_count"),
         (F.col("_at") == 0).alias("first_of_order"),
     )
+
+
+def job_totals(
+    tables: Tables, periods: list[Period], end: str = MIDNIGHT, dates: bool = True
+) -> DataFrame:
+    """Period jobs folded per (period, site, work order).
+
+    All jobs of a work order at a site share every charge, and job value is linear in the
+    quantity, so the fold loses nothing the report needs. Partial aggregation happens before the
+    shuffle: a work order that owns a large part of all jobs arrives as one row per task. Jobs
+    without id have no scenario charge and form a row of their own (``has_id``);
+    ``first_of_order`` is true on one row per work order. ``dates`` adds the first and last creation.
+    """
+    counted = period_jobs(tables, periods, end=end).groupBy(*PERIOD, "site_id", "work_order_id")
+    return _total_rows(counted.agg(_totals(F.lit(True), dates).alias("_totals")))
+
+
+def month_sums(jobs: DataFrame, end: str = MIDNIGHT) -> DataFrame:
+    """Jobs laid out by month, folded once per (month, site, work order) into what ``totals_of_months`` and
+    ``starts_of_months`` take apart: the totals of ``job_totals`` of whole months, and the first start of any job.
+    """
+    quantity, start = F.col(QUANTITY), F.col("actual_start_at")
+    counted = (quantity > MIN_JOBQUANTITY) & ~F.isnan(quantity) & in_month(start, F.col(START_MONTH), end)
+    return jobs.groupBy(START_MONTH, "site_id", "work_order_id").agg(
+        _totals(counted, dates=True).alias("_totals"), F.min(start).alias("first_start")
+    )
+
+
+def totals_of_months(sums: DataFrame) -> DataFrame:
+    """``job_totals`` of the months of ``month_sums``."""
+    month = F.col(START_MONTH)
+    return _total_rows(sums.withColumns({"start_date": month, "end_date": F.last_day(month)}))
+
+
+def starts_of_months(sums: DataFrame) -> DataFrame:
+    """``first_starts`` of the months of ``month_sums``, per month."""
+    known = ("work_order_id", "site_id", "first_start")
+    found = sums.where(" AND ".join(f"{name} IS NOT NULL" for name in known))
+    return found.select("site_id", "work_order_id", START_MONTH, "first_start")

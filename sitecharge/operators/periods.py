@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # How the last day of a period counts: up to its first instant only, or in full.
@@ -54,6 +54,15 @@ def _inside(moment: str, first: date, last: date, end: str) -> str:
     raise ValueError(f"unknown end rule {end!r}")
 
 
+def in_month(moment: Column, month: Column, end: str) -> Column:
+    """Whether a ``moment`` of the month that starts at ``month`` counts in it: by the rule for its last day."""
+    if end == FULL_DAY:
+        return moment.isNotNull()
+    if end == MIDNIGHT:
+        return moment <= F.last_day(month)
+    raise ValueError(f"unknown end rule {end!r}")
+
+
 def tag_periods(df: DataFrame, moment: str, periods: list[Period], end: str = MIDNIGHT) -> DataFrame:
     """Keep the rows whose ``moment`` lies in a period; add its start_date and end_date.
 

@@ -2,7 +2,8 @@
 
 Per month the store has the totals per (site, work order) and the first starts, both long before any price: charges,
 scenarios, units and owners are joined anew in each run, so a change of theirs needs no bookkeeping. First starts are
-stored per month too, and not as one running minimum, so that a month that is written again may lose jobs.
+stored per month too, and not as one running minimum, so that a month that is written again may lose jobs. Both are
+columns of one table, so that the jobs are folded and moved once.
 
 Marks of the months are written last. A run that dies before that leaves months whose marks do not fit, which the
 next run computes again; what it replaced in the meantime were whole months.
@@ -12,19 +13,18 @@ from __future__ import annotations
 
 import calendar
 import json
-from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecharge.operators.jobs import first_starts, job_totals
+from sitecharge.operators.jobs import month_sums, starts_of_months, totals_of_months
 from sitecharge.operators.periods import START_MONTH, Period, months_of, year_to_date
 from sitecharge.plans.report import ReportOptions, build_report, stamp
 from sitecharge.plans.staging import Staging
 from sitecharge.sources.layout import (
-    FILES_PER_MONTH,
     month_marks,
+    months_by_size,
     read_jobs_by_month,
     read_months,
     write_months,
@@ -32,6 +32,11 @@ from sitecharge.sources.layout import (
 from sitecharge.sources.sinks import write_report
 from sitecharge.sources.tables import Tables, typed
 
+_SUMS = "totals_and_starts"  # the store's table; part of the marks, so that a store laid out otherwise is made anew
+# Months are folded together while their files take this much: what one task folds then lies in few of them, and is
+# written as it is, without being dealt by month once more.
+_RUN_BYTES = 256 << 20
+
 
 def _month(first: date) -> Period:
     return Period(first, first.replace(day=calendar.monthrange(first.year, first.month)[1]))
@@ -51,27 +56,19 @@ def _known_marks(spark: SparkSession, store: str) -> dict[str, str]:
 def refresh(tables: Tables, jobs_path: str, store: str, end: str = ReportOptions.end) -> list[date]:
     """Bring the store up to date with the jobs laid out by month below ``jobs_path``; the months that changed.
 
-    Only these are read. ``end`` is the rule for the last day of a month; another one than last time makes all
-    months count as changed.
+    Only these are read, small months together. ``end`` is the rule for the last day of a month; another one than
+    last time makes all months count as changed.
     """
     spark = tables.jobs.sparkSession
-    marks = {m.isoformat(): f"{end} {mark}" for m, mark in month_marks(spark, jobs_path).items()}
+    marks = {m.isoformat(): f"{_SUMS} {end} {mark}" for m, mark in month_marks(spark, jobs_path).items()}
     known = _known_marks(spark, store)
     changed = sorted(date.fromisoformat(m) for m in {*marks, *known} if marks.get(m) != known.get(m))
     if not changed:
         return []
     jobs = typed(read_jobs_by_month(spark, jobs_path), "jobs")
-    part = replace(tables, jobs=jobs)
-    staging = Staging(spark)
-    try:
-        totals = job_totals(part, [_month(m) for m in changed], end)
-        starts = first_starts(jobs.where(F.col(START_MONTH).isin(changed)), START_MONTH)
-        for name, rows in (("totals", totals.withColumn(START_MONTH, F.col("start_date"))), ("starts", starts)):
-            rows = staging.store(rows, name)  # ``write_months`` reads it twice
-            dealt = F.pmod(F.xxhash64("site_id", "work_order_id"), F.lit(FILES_PER_MONTH))
-            write_months(rows.repartition(START_MONTH, dealt), f"{store}/{name}", changed)
-    finally:
-        staging.clear()
+    for months in months_by_size(spark, jobs_path, changed, _RUN_BYTES):
+        sums = month_sums(jobs.where(F.col(START_MONTH).isin(months)), end)
+        write_months(sums, f"{store}/{_SUMS}", months)
     written = spark.createDataFrame([(json.dumps(marks),)], "value string")
     written.coalesce(1).write.mode("overwrite").text(_marks_path(store))
     return changed
@@ -81,13 +78,13 @@ def stored_totals(spark: SparkSession, store: str, periods: list[Period]) -> Dat
     """``job_totals`` of ``periods``, which have to be whole months."""
     if any(p != _month(p.start) for p in periods):
         raise ValueError("stored totals are of whole months")
-    rows = read_months(spark, f"{store}/totals")
-    return rows.where(F.col(START_MONTH).isin(months_of(periods))).drop(START_MONTH)
+    sums = read_months(spark, f"{store}/{_SUMS}")
+    return totals_of_months(sums.where(F.col(START_MONTH).isin(months_of(periods))))
 
 
 def stored_starts(spark: SparkSession, store: str) -> DataFrame:
     """``first_starts`` of all time: one row per site, work order and month."""
-    return read_months(spark, f"{store}/starts").drop(START_MONTH)
+    return starts_of_months(read_months(spark, f"{store}/{_SUMS}")).drop(START_MONTH)
 
 
 def incremental_report(

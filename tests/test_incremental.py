@@ -1,5 +1,6 @@
 """Stored months: the same report, and only changed months are read."""
 
+import json
 import os
 from dataclasses import replace
 from datetime import date, datetime
@@ -10,12 +11,12 @@ from pyspark.sql import functions as F
 from test_report import expect_equal
 from world import random_world, spark_tables
 
-from sitecharge.operators.jobs import turned_on_dates
-from sitecharge.operators.periods import FULL_DAY, Period, year_to_date
+from sitecharge.operators.jobs import first_starts, job_totals, turned_on_dates
+from sitecharge.operators.periods import FULL_DAY, MIDNIGHT, START_MONTH, Period, year_to_date
 from sitecharge.plans import incremental
 from sitecharge.plans.report import ReportOptions, build_report
 from sitecharge.plans.staging import Staging
-from sitecharge.sources.layout import month_marks, write_jobs_by_month
+from sitecharge.sources.layout import by_month, month_marks, write_jobs_by_month
 from sitecharge.sources.sinks import create_report, read_report
 
 MARCH = date(2000, 3, 15)
@@ -78,6 +79,42 @@ def test_other_rule_for_the_last_day(spark, tmp_path):
         incremental.stored_totals(spark, store, [Period(JANUARY, date(2000, 1, 30))])
 
 
+@pytest.mark.parametrize("end", [MIDNIGHT, FULL_DAY])
+def test_jobs_are_folded_and_moved_once(spark, tmp_path, monkeypatch, end):
+    """One table with one exchange, whether the months are folded together or each alone."""
+    tables = spark_tables(spark, random_world(55))
+    folder = str(tmp_path / "jobs")
+    write_jobs_by_month(tables.jobs, folder)
+    plans, write = [], incremental.write_months
+
+    def noting(rows, path, months):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        write(rows, path, months)
+
+    monkeypatch.setattr(incremental, "write_months", noting)
+    periods = year_to_date(date(2000, 5, 1))
+    for most, store in ((1 << 30, str(tmp_path / "together")), (1, str(tmp_path / "alone"))):
+        monkeypatch.setattr(incremental, "_RUN_BYTES", most)
+        plans.clear()
+        changed = incremental.refresh(tables, folder, store, end)
+        assert len(changed) > 1 and plans == [1] * (1 if most > 1 else len(changed))
+        totals = incremental.stored_totals(spark, store, periods)
+        assert totals.columns == job_totals(tables, periods, end).columns
+        assert rows_of(totals) == rows_of(job_totals(tables, periods, end))
+        months = first_starts(by_month(tables.jobs), START_MONTH)
+        assert rows_of(incremental.stored_starts(spark, store)) == rows_of(months.drop(START_MONTH))
+
+
+def test_store_of_another_layout_is_made_anew(spark, tmp_path):
+    tables = spark_tables(spark, random_world(56))
+    folder, store = str(tmp_path / "jobs"), str(tmp_path / "store")
+    write_jobs_by_month(tables.jobs, folder)
+    marks = {m.isoformat(): f"{MIDNIGHT} {mark}" for m, mark in month_marks(spark, folder).items()}
+    spark.createDataFrame([(json.dumps(marks),)], "value string").write.text(f"{store}/marks")
+    assert [m.isoformat() for m in incremental.refresh(tables, folder, store)] == sorted(marks)
+    assert rows_of(turned_on_dates(tables, incremental.stored_starts(spark, store))) == rows_of(turned_on_dates(tables))
+
+
 def test_run_that_died_before_its_marks(spark, tmp_path, monkeypatch):
     tables = spark_tables(spark, random_world(53))
     folder, store = str(tmp_path / "jobs"), str(tmp_path / "store")

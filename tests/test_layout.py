@@ -13,7 +13,8 @@ from sitecharge.operators.jobs import job_facts, period_jobs
 from sitecharge.operators.periods import START_MONTH, Period, months_of, year_to_date
 from sitecharge.operators.pricing import merged_in_buckets, merged_jobs, order_prices
 from sitecharge.operators.skew import heavy_keys, lookup_join
-from sitecharge.sources.layout import read_jobs_by_month, write_in_buckets, write_jobs_by_month
+from sitecharge.sources import layout
+from sitecharge.sources.layout import read_jobs_by_month, read_months, write_in_buckets, write_jobs_by_month, write_months
 from sitecharge.sources.tables import typed
 
 PERIODS = year_to_date(date(2000, 3, 15))
@@ -76,6 +77,54 @@ def test_a_month_is_replaced_or_emptied(spark, tables, tmp_path):
     assert read_jobs_by_month(spark, path).count() == 0
 
 
+def test_rows_of_replaced_months_are_read_once(spark, tmp_path):
+    """The months that got rows are known from the folders, not from another pass over the rows."""
+    path = str(tmp_path / "rows")
+    january, february, march = (date(2000, m, 1) for m in (1, 2, 3))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("date")
+    def month(number):
+        seen.add(1)
+        return january if number % 2 else february
+
+    write_months(spark.createDataFrame([(0, january), (1, march)], f"n int, {START_MONTH} date"), path)
+    rows = spark.range(10).select("id", month.asNondeterministic()("id").alias(START_MONTH))
+    write_months(rows.withColumnRenamed("id", "n"), path, [january, february, march])
+    assert seen.value == 10
+    found = read_months(spark, path)
+    assert {(r.n, r[START_MONTH]) for r in found.collect()} == {(i, january if i % 2 else february) for i in range(10)}
+    write_months(rows.limit(0), path, [january])
+    assert {r[START_MONTH] for r in read_months(spark, path).collect()} == {february}
+
+
+def test_rows_of_a_layout_are_not_moved_again(spark, tables, tmp_path, monkeypatch):
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    write_jobs_by_month(tables.jobs, one, files=1)
+    plans, write = [], layout.write_months
+    monkeypatch.setattr(layout, "write_months", lambda rows, *more: (plans.append(physical(rows)), write(rows, *more)))
+    write_jobs_by_month(read_jobs_by_month(spark, one), two, laid_out=True)
+    january = [date(2000, 1, 1)]
+    write_jobs_by_month(read_jobs_by_month(spark, one), two, months=january, laid_out=True)
+    write_jobs_by_month(tables.jobs, two, months=january)
+    assert ["Exchange" in plan for plan in plans] == [False, False, True]
+    assert rows_of(read_jobs_by_month(spark, two)) == rows_of(read_jobs_by_month(spark, one))
+
+
+def test_months_by_size(tmp_path, spark):
+    """Runs of months in order; a large one alone; one without files costs nothing."""
+    sizes = {1: 4, 2: 5, 3: 30, 4: 10, 6: 1}
+    for m, size in sizes.items():
+        folder = tmp_path / f"{START_MONTH}=2000-{m:02}-01"
+        folder.mkdir()
+        (folder / "part-0.parquet").write_bytes(b"?" * size)
+    months = [date(2000, m, 1) for m in (6, 5, 4, 3, 2, 1)]
+    runs = layout.months_by_size(spark, str(tmp_path), months, 10)
+    assert [[m.month for m in run] for run in runs] == [[1, 2], [3], [4, 5], [6]]
+    assert layout.months_by_size(spark, str(tmp_path), months, 50) == [months[::-1]]
+    assert layout.months_by_size(spark, str(tmp_path / "none"), months[:2], 1) == [[months[1], months[0]]]
+
+
 def test_jobs_in_buckets_do_not_move(spark, tables, tmp_path):
     for name in ("bucketed_jobs", "bucketed_prices"):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
